@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 from ..functions.text import to_number
 from ..session import materialize, shuffle_width
 from .profile import categorical_names
+from .quantiles import column_quantiles
 
 
 def one_hot(df: DataFrame, columns: list[str] | None = None, limit: int = 2000) -> DataFrame:
@@ -78,11 +79,11 @@ def coerce_numeric(df: DataFrame, exclude: tuple = (), threshold: float = 0.5) -
             return to_number(F.replace(F.col(c), F.lit(","), F.lit(".")))
         return F.lit(None).cast("double")
 
-    seen = df.agg(*[F.struct(F.try_divide(F.count(number(c)), F.count(F.lit(1))).alias("rate"),
-                             F.median(number(c)).alias("mid")).alias(c) for c in names]).first()
-    as_number = [c for c in names if (seen[c]["rate"] or 0) > threshold]
+    rates = df.agg(*[F.try_divide(F.count(number(c)), F.count(F.lit(1))).alias(c) for c in names]).first()
+    as_number = [c for c in names if (rates[c] or 0) > threshold]
     as_code = [c for c in names if c not in as_number]
-    filled = {c: F.coalesce(number(c), F.lit(float(seen[c]["mid"] or 0.0))) for c in as_number}
+    medians = column_quantiles(df.select(*[number(c).alias(c) for c in as_number]), as_number, [0.5])
+    filled = {c: F.coalesce(number(c), F.lit(float(medians[c][0] or 0.0))) for c in as_number}
     out = df.withColumns(filled) if filled else df
     out = codes(out, as_code) if as_code else out
     return out.select(*[F.col(c).cast("double").alias(c) if c in names else F.col(c) for c in df.columns])

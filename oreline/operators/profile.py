@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.numbers import pearson
+from .quantiles import column_quantiles
 
 
 def numeric_names(df: DataFrame) -> list[str]:
@@ -27,13 +28,14 @@ def _rows_per_column(one_row: DataFrame, columns: list[str], parts: list[str]) -
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, sample std, min, quartiles (interpolated), max, nulls: one pass, one row per column."""
+    """Count, mean, sample std, min, quartiles (interpolated), max, nulls: one row per column."""
     columns = columns or numeric_names(df)
     parts = ["count", "mean", "std", "min", "p25", "p50", "p75", "max", "nulls"]
+    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75])
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        q = [F.lit(v).cast("double") for v in quartiles[c]]
         aggs.append(F.struct(
             F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
             F.min(x).alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
@@ -111,37 +113,35 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
 def boxplot(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Quartiles and whiskers (last data point within 1.5 interquartile ranges) per column."""
     columns = columns or numeric_names(df)
-    box = describe(df, columns).select("column", "p25", "p50", "p75")
-    limits = {r["column"]: r for r in box.collect()}          # one row per column
+    limits = column_quantiles(df, columns, [0.25, 0.5, 0.75])
+    parts = ["lo", "p25", "p50", "p75", "hi", "outliers"]
     aggs = []
     for c in columns:
-        r = limits[c]
         x = F.col(c).cast("double")
-        if r["p25"] is None:
-            aggs.append(F.struct(*[F.lit(None).cast("double").alias(p) for p in ("lo", "hi")],
-                                 F.lit(0).cast("bigint").alias("outliers")).alias(c))
-            continue
-        iqr = r["p75"] - r["p25"]
-        inside = x.between(r["p25"] - 1.5 * iqr, r["p75"] + 1.5 * iqr)
-        aggs.append(F.struct(F.min(F.when(inside, x)).alias("lo"), F.max(F.when(inside, x)).alias("hi"),
-                             F.count_if(~inside).alias("outliers")).alias(c))
-    whiskers = _rows_per_column(df.agg(*aggs), columns, ["lo", "hi", "outliers"])
-    return box.join(whiskers, "column").select("column", "lo", "p25", "p50", "p75", "hi", "outliers")
+        q1, q2, q3 = limits[c]
+        inside = _inside_whiskers(x, q1, q3)
+        aggs.append(F.struct(
+            F.min(F.when(inside, x)).alias("lo"), F.lit(q1).cast("double").alias("p25"),
+            F.lit(q2).cast("double").alias("p50"), F.lit(q3).cast("double").alias("p75"),
+            F.max(F.when(inside, x)).alias("hi"), F.count_if(~inside).alias("outliers")).alias(c))
+    return _rows_per_column(df.agg(*aggs), columns, parts)
+
+
+def _inside_whiskers(x, q1, q3):
+    if q1 is None:
+        return F.lit(None).cast("boolean")
+    return x.between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
 
 
 def outliers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """The points outside the whiskers as (column, value)."""
     columns = columns or numeric_names(df)
-    ends = {r["column"]: r for r in describe(df, columns).select("column", "p25", "p75").collect()}
-    keep = None
+    limits = column_quantiles(df, columns, [0.25, 0.75])
+    keep = F.lit(False)
     for c in columns:
-        lo, hi = ends[c]["p25"], ends[c]["p75"]
-        if lo is None:
-            continue
-        out = (F.col("column") == c) & ~F.col("value").between(lo - 1.5 * (hi - lo), hi + 1.5 * (hi - lo))
-        keep = out if keep is None else keep | out
+        keep = keep | ((F.col("column") == c) & ~_inside_whiskers(F.col("value"), *limits[c]))
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
-    return long.where(keep if keep is not None else F.lit(False))
+    return long.where(keep)
 
 
 def density(df: DataFrame, column: str, points: int = 200, resolution: int = 4096) -> DataFrame:

@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
+from .quantiles import column_quantiles
+
 
 @dataclass
 class Statistics:
@@ -16,18 +18,22 @@ class Statistics:
         return self.values[column]
 
 
-def learn(df: DataFrame, columns: list[str]) -> Statistics:
-    """Mean, population std, min, max and median of each column."""
+def learn(df: DataFrame, columns: list[str], median: bool = True) -> Statistics:
+    """Mean, population std, min, max and (optionally) median of each column."""
     row = df.agg(*[F.struct(
         F.avg(F.col(c).cast("double")).alias("mean"), F.stddev_pop(F.col(c).cast("double")).alias("std"),
-        F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max"),
-        F.median(F.col(c).cast("double")).alias("median")).alias(c) for c in columns]).first()
-    return Statistics({c: {k: (0.0 if v is None else v) for k, v in row[c].asDict().items()} for c in columns})
+        F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max")).alias(c)
+        for c in columns]).first()
+    stats = {c: {k: (0.0 if v is None else v) for k, v in row[c].asDict().items()} for c in columns}
+    if median:
+        for c, q in column_quantiles(df, columns, [0.5]).items():
+            stats[c]["median"] = q[0] or 0.0
+    return Statistics(stats)
 
 
 def standardize(df: DataFrame, columns: list[str], stats: Statistics | None = None) -> DataFrame:
     """(x - mean) / population std; a constant column becomes 0."""
-    stats = stats or learn(df, columns)
+    stats = stats or learn(df, columns, median=False)
     return df.withColumns({c: (F.col(c) - stats[c]["mean"]) / (stats[c]["std"] or 1.0) for c in columns})
 
 
@@ -38,7 +44,7 @@ def impute_median(df: DataFrame, columns: list[str], stats: Statistics) -> DataF
 
 def min_max(df: DataFrame, columns: list[str], stats: Statistics | None = None) -> DataFrame:
     """To [0, 1]; a constant column becomes 0."""
-    stats = stats or learn(df, columns)
+    stats = stats or learn(df, columns, median=False)
     return df.withColumns({c: (F.col(c) - stats[c]["min"]) / ((stats[c]["max"] - stats[c]["min"]) or 1.0)
                            for c in columns})
 
@@ -56,7 +62,7 @@ def max_abs(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def radar(df: DataFrame, columns: list[str]) -> DataFrame:
     """Min-max to 0..100 per column; a constant column shows 50."""
-    stats = learn(df, columns)
+    stats = learn(df, columns, median=False)
     out = {}
     for c in columns:
         span = stats[c]["max"] - stats[c]["min"]
