@@ -1 +1,168 @@
-"""Queries."""
+"""Clustering and component queries on the embeddings and a few numeric tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import cluster as C
+from ..operators import neighbors as N
+from ..operators import reduce as P
+from ..operators import scale as S
+from ..sources.tables import table
+from .profiles import rounded
+from .registry import query
+from .supervised import vectors
+
+
+def start_centres(spark, sf, k=3):
+    """The vectors with the smallest ids as fixed start centres."""
+    return [r["x"] for r in vectors(spark, sf).where(F.col("row_id") < k).orderBy("row_id").collect()]
+
+
+@query("uns1_scaled_columns", "SELECT c_custkey, round((c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER (), 6) AS c_acctbal, "
+       "round((c_nationkey - avg(c_nationkey) OVER ()) / stddev_pop(c_nationkey) OVER (), 6) AS c_nationkey FROM customer")
+def scaled_columns(spark, sf):
+    return rounded(S.standardize(table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_nationkey"), ["c_acctbal", "c_nationkey"]))
+
+
+_Z = ("WITH z AS (SELECT p_partkey, (p_size - avg(p_size) OVER ()) / stddev_pop(p_size) OVER () AS a, "
+      "(p_retailprice - avg(p_retailprice) OVER ()) / stddev_pop(p_retailprice) OVER () AS b FROM part), r AS (SELECT corr(a, b) AS r FROM z)")
+_PC = ("pc AS (SELECT p_partkey, a, b, CASE WHEN r >= 0 THEN (a + b) / sqrt(2) ELSE (a - b) / sqrt(2) END AS p1, "
+       "CASE WHEN r >= 0 THEN (a - b) / sqrt(2) ELSE (a + b) / sqrt(2) END AS p2 FROM z, r)")
+
+
+def _components(spark, sf):
+    df = table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
+    return df, P.principal_components(df, ["p_size", "p_retailprice"], 2)
+
+
+@query("uns2_pca_coordinates", f'{_Z}, {_PC} SELECT p_partkey, round(p1, 5) AS "PC1", round(p2, 5) AS "PC2" FROM pc')
+def pca_coordinates(spark, sf):
+    df, pcs = _components(spark, sf)
+    return rounded(pcs.coordinates(df, ["p_partkey"]), 5)
+
+
+@query("uns2_pca_variance", f"{_Z} SELECT 'PC1' AS component, round((1 + abs(r)) * 50, 5) AS share FROM r UNION ALL SELECT 'PC2', round((1 - abs(r)) * 50, 5) FROM r")
+def pca_variance(spark, sf):
+    _, pcs = _components(spark, sf)
+    return rounded(pcs.variance(spark), 5)
+
+
+_CORR = (" SELECT 'p_size' AS variable, 'PC1' AS component, round(corr(a, p1), 5) AS corr FROM pc UNION ALL SELECT 'p_size', 'PC2', round(corr(a, p2), 5) FROM pc "
+         "UNION ALL SELECT 'p_retailprice', 'PC1', round(corr(b, p1), 5) FROM pc UNION ALL SELECT 'p_retailprice', 'PC2', round(corr(b, p2), 5) FROM pc")
+
+
+@query("agg23_component_correlations", f"{_Z}, {_PC}{_CORR}")
+def component_correlations(spark, sf):
+    df, pcs = _components(spark, sf)
+    return rounded(pcs.correlations(df), 5)
+
+
+@query("plt12_correlation_circle", f"{_Z}, {_PC}, c AS ({_CORR}) SELECT variable, max(corr) FILTER (component = 'PC1') AS x, max(corr) FILTER (component = 'PC2') AS y FROM c GROUP BY variable")
+def correlation_circle(spark, sf):
+    df, pcs = _components(spark, sf)
+    return rounded(pcs.correlations(df), 5).groupBy("variable").pivot("component", ["PC1", "PC2"]).agg(F.max("corr")).toDF("variable", "x", "y")
+
+
+@query("plt12_principal_plane", f'{_Z}, {_PC} SELECT p_partkey, round(p1, 5) AS x, round(p2, 5) AS y FROM pc')
+def principal_plane(spark, sf):
+    df, pcs = _components(spark, sf)
+    return rounded(pcs.coordinates(df, ["p_partkey"]), 5).toDF("p_partkey", "x", "y")
+
+
+@query("uns2_pca_embeddings")
+def pca_embeddings(spark, sf):
+    wide = P.array_columns(vectors(spark, sf), "x", 64, ["row_id"])
+    pcs = P.principal_components(wide, [f"f{i}" for i in range(64)], 2, scale=False)
+    return rounded(pcs.coordinates(wide, ["row_id"]), 5)
+
+
+def _dist(a, b):
+    return f"list_reduce(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) ** 2), lambda s, v: s + v)"
+
+
+_E = "e AS (SELECT vec_id AS row_id, [x :: DOUBLE for x in embedding] AS x FROM embeddings), c0 AS (SELECT row_id AS c, x FROM e WHERE row_id < 3)"
+
+
+def _lloyd(i):
+    return (f"a{i} AS (SELECT e.row_id, e.x, min_by(c, d) AS c, min(d) AS d FROM (SELECT e.row_id, e.x, c{i}.c, {_dist('e.x', f'c{i}.x')} AS d FROM e, c{i}) e GROUP BY 1, 2), "
+            f"u{i} AS (SELECT c, i, avg(v) AS v FROM (SELECT c, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{i}) GROUP BY 1, 2), "
+            f"c{i + 1} AS (SELECT c, list(v ORDER BY i) AS x FROM u{i} GROUP BY c)")
+
+
+_NEAR = f"WITH {_E}, {_lloyd(0)}"
+
+
+@query("jn5_nearest_centre", f"{_NEAR} SELECT row_id, CAST(c AS INTEGER) AS cluster, round(sqrt(d), 6) AS distance FROM a0")
+def nearest_centre(spark, sf):
+    return rounded(N.nearest_centre(vectors(spark, sf), "x", start_centres(spark, sf)).select("row_id", "cluster", "distance"))
+
+
+def _assigned(spark, sf):
+    return N.nearest_centre(vectors(spark, sf), "x", start_centres(spark, sf))
+
+
+@query("agg18_cluster_sizes", f"{_NEAR} SELECT CAST(c AS INTEGER) AS cluster, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM a0 GROUP BY c")
+def cluster_sizes(spark, sf):
+    return rounded(C.distribution(_assigned(spark, sf)))
+
+
+@query("agg19_centroids", f"{_NEAR} SELECT CAST(c AS INTEGER) AS cluster, round(avg(x[1]), 6) AS f0, round(avg(x[2]), 6) AS f1 FROM a0 GROUP BY c")
+def centroids(spark, sf):
+    a = _assigned(spark, sf).select("cluster", F.col("x")[0].alias("f0"), F.col("x")[1].alias("f1"))
+    return rounded(C.centroids(a, ["f0", "f1"]))
+
+
+@query("plt7_centroid_bars", f"{_NEAR}, m AS (SELECT c, avg(x[1]) AS f0, avg(x[2]) AS f1 FROM a0 GROUP BY c) "
+       "SELECT CAST(c AS INTEGER) AS cluster, round(f0 / max(abs(f0)) OVER (), 5) AS f0, round(f1 / max(abs(f1)) OVER (), 5) AS f1 FROM m")
+def centroid_bars(spark, sf):
+    a = _assigned(spark, sf).select("cluster", F.col("x")[0].alias("f0"), F.col("x")[1].alias("f1"))
+    return rounded(S.max_abs(C.centroids(a, ["f0", "f1"]), ["f0", "f1"]), 5)
+
+
+@query("uns3_kmeans_fixed_start", f"{_NEAR}, {_lloyd(1)}, {_lloyd(2)} SELECT row_id, CAST(c AS INTEGER) AS cluster, round(sqrt(d), 6) AS distance FROM a2")
+def kmeans_fixed_start(spark, sf):
+    rows, _ = C.kmeans_from(vectors(spark, sf), start_centres(spark, sf), 2)
+    return rounded(rows.select("row_id", "cluster", "distance"))
+
+
+@query("uns3_kmeans")
+def kmeans(spark, sf):
+    rows, _, _ = C.kmeans(C.standardized(vectors(spark, sf)), 3, 100, 2)
+    return rounded(rows.select("row_id", "cluster", "distance"))
+
+
+@query("uns4_kmedoids")
+def kmedoids(spark, sf):
+    rows, _, _ = C.kmedoids(C.standardized(vectors(spark, sf)), 3, 2, 2)
+    return rounded(rows.select("row_id", "cluster", "distance"))
+
+
+@query("uns5_hierarchical")
+def hierarchical(spark, sf):
+    rows, _ = C.hierarchical(C.standardized(vectors(spark, sf)), 3, "ward")
+    return rows.select("row_id", "cluster")
+
+
+@query("plt11_dendrogram")
+def dendrogram(spark, sf):
+    _, merges = C.hierarchical(vectors(spark, sf), 3, "average")
+    return rounded(merges)
+
+
+@query("uns6_cluster_table", f"{_NEAR}, {_lloyd(1)} SELECT CAST(c AS INTEGER) AS cluster, count(*) AS n, round(avg(x[1]), 6) AS f0 FROM a1 GROUP BY c")
+def cluster_table(spark, sf):
+    rows, _ = C.kmeans_from(vectors(spark, sf), start_centres(spark, sf), 1)
+    return rounded(rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("x")[0]).alias("f0")))
+
+
+@query("uns7_projected_clusters")
+def projected_clusters(spark, sf):
+    """Rows and centres in the plane of the first two components."""
+    rows, centres = C.kmeans_from(vectors(spark, sf), start_centres(spark, sf), 2)
+    names = [f"f{i}" for i in range(64)]
+    wide = P.array_columns(rows, "x", 64, ["row_id", "cluster"])
+    pcs = P.principal_components(wide, names, 2, scale=False)
+    middle = spark.createDataFrame([(None, i, *map(float, c)) for i, c in enumerate(centres)],
+                                   "row_id bigint, cluster int, " + ", ".join(f"{n} double" for n in names))
+    return rounded(pcs.coordinates(wide.unionByName(middle), ["row_id", "cluster"]), 5)
