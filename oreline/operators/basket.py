@@ -288,21 +288,23 @@ def weighted_sample(groups: DataFrame, group: str, size: str, items: DataFrame,
     table = cumulative_weights(items, item, weight)
     filed = materialize(table.withColumn("_slot", F.explode(F.sequence(
         F.floor(F.col("lo") * slots), F.least(F.floor(F.col("hi") * slots), F.lit(slots - 1))))))
-    todo = groups.select(F.col(group), F.least(F.col(size).cast("int"), F.lit(n_items)).alias("_k"))
+    # the short group rows are placed first, so the draws made from them need no further move
+    todo = (groups.select(F.col(group), F.least(F.col(size).cast("int"), F.lit(n_items)).alias("_k"))
+            .repartition(F.col(group)))
     done, factor = None, 2
     while True:
         draws = (todo.withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_k") * factor + 4)))
                  .withColumn("_u", uniform(F.col(group), F.col("_j"), seed))
                  .withColumn("_slot", F.floor(F.col("_u") * slots)))
         hits = draws.join(filed, "_slot").where((F.col("_u") >= F.col("lo")) & (F.col("_u") < F.col("hi")))
-        first = hits.groupBy(group, "_k", "item").agg(F.min("_j").alias("_j"))
-        order = W.partitionBy(group).orderBy("_j")
-        picked = materialize(first.withColumn("pick", F.row_number().over(order))
-                             .where(F.col("pick") <= F.col("_k"))
-                             .withColumn("_got", F.count(F.lit(1)).over(W.partitionBy(group))))
-        whole = picked.where(F.col("_got") == F.col("_k")).select(group, "pick", "item")
+        # at most a few draws per wanted item: the list of a group is short by construction
+        ordered = F.array_sort(F.collect_list(F.struct("_j", "item")))
+        lists = hits.groupBy(group, "_k").agg(F.array_distinct(F.transform(ordered, lambda d: d["item"])).alias("_i"))
+        picked = materialize(lists)
+        whole = picked.where(F.size("_i") >= F.col("_k")).select(
+            group, F.posexplode(F.slice("_i", F.lit(1), F.col("_k"))).alias("pick", "item")).withColumn("pick", F.col("pick") + 1)
         done = whole if done is None else done.unionByName(whole)
-        short = picked.where(F.col("_got") < F.col("_k")).select(group, "_k").distinct()
+        short = picked.where(F.size("_i") < F.col("_k")).select(group, "_k")
         if short.isEmpty():
             return done
         todo, factor = short, factor * 4

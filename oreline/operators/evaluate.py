@@ -43,7 +43,7 @@ def fit_predict(train: DataFrame, test: DataFrame, features: list[str], factory,
     rows = ready.apply(train, ["row_id", "label"])
     learner = factory(dict(params or {}))
     if class_weight == "balanced":
-        if not hasattr(learner, "setWeightCol"):
+        if not models.accepts(learner, "weightCol"):
             raise ValueError("this model takes no row weights")
         rows = R.class_weights(rows, "label")
         learner = learner.setWeightCol("weight")
@@ -149,7 +149,7 @@ def benchmark_balancing(df: DataFrame, features: list[str], factory=models.rando
     df, rows = materialize(df), []
     for method in ("none", "oversample", "undersample", "smote", "class_weight"):
         weight = "balanced" if method == "class_weight" else None
-        if weight and not hasattr(factory(dict(params or {})), "setWeightCol"):
+        if weight and not models.accepts(factory(dict(params or {})), "weightCol"):
             rows.append((method, None, None))
             continue
         scores = cross_validate(df, features, factory, params, n_folds, cv_method, scoring, scale,

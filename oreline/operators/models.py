@@ -26,8 +26,10 @@ class Prepared:
     def __init__(self, train: DataFrame, features: list[str], scale: bool):
         self.features, self.scale = features, scale
         self.stats = S.learn(train, features)
-        filled = S.impute_median(train, features, self.stats)
-        self.spread = S.learn(filled, features, median=False) if scale else None
+        complete = not any(self.stats[c]["missing"] for c in features)
+        # filling changes mean and spread; without gaps the first statistics already hold
+        self.spread = self.stats if complete or not scale else S.learn(
+            S.impute_median(train, features, self.stats), features, median=False)
 
     def apply(self, df: DataFrame, keep: list[str]) -> DataFrame:
         out = S.impute_median(df, self.features, self.stats)
@@ -133,8 +135,13 @@ def knn(p: dict):
 
 CLASSIFIERS: dict[str, Callable[[dict], object]] = {
     "KNN": knn, "Decision Tree": decision_tree, "Random Forest": random_forest, "XGBoost": gradient_boosting, "AdaBoost": ada_boost}
-# models that take a weight per row (for balanced class weights)
-WEIGHTED = {"Decision Tree", "Random Forest"}
+
+
+def accepts(learner, name: str) -> bool:
+    """Does the learner take a parameter of this name (``weightCol``, ``seed``, ...)?"""
+    if hasattr(learner, "hasParam"):
+        return learner.hasParam(name)
+    return hasattr(learner, name)
 
 
 def linear(p: dict):

@@ -17,6 +17,7 @@ from ..functions.hashing import hash32
 from ..session import materialize
 
 MAX_PIVOTS = 256
+CELL_ROWS = 2048         # rows a cell should hold, so that a cell is worth a task
 POINT_BLOCK = 4096
 QUERY_BLOCK = 4096
 
@@ -102,7 +103,7 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, same_rows: bool = Fal
     total = p.count()
     if total == 0:
         return queries.sparkSession.createDataFrame([], "qid bigint, pid bigint, dist double, rank int")
-    m = int(min(MAX_PIVOTS, max(1, total ** 0.5)))
+    m = int(min(MAX_PIVOTS, max(1, total // CELL_ROWS)))
     picked = p.orderBy(hash32(F.col("pid"), 11), "pid").limit(m).select("x").collect()
     pivots = np.unique(np.array([r["x"] for r in picked], float), axis=0)
     filed = materialize(p.mapInPandas(_assign(pivots), "pid bigint, grp string, x array<double>, cell int, r double"))

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Elements without content and elements whose content is not text.
@@ -93,21 +94,32 @@ class _Elements(HTMLParser):
         self._flush()
 
 
+_FIELDS = pa.struct([("id", pa.int32()), ("parent", pa.int32()), ("tag", pa.string()), ("nth", pa.int32()),
+                     ("attrs", pa.map_(pa.string(), pa.string())), ("anc", pa.list_(pa.int32())),
+                     ("t0", pa.int32()), ("t1", pa.int32()), ("i0", pa.int32()), ("i1", pa.int32())])
+
+
 def _parse_batches(batches):
-    names = ["id", "parent", "tag", "nth", "attrs", "anc", "t0", "t1", "i0", "i1"]
-    for pdf in batches:
-        texts, elements = [], []
-        for html in pdf["html"]:
+    """Parse the pages of a batch into one flat table of elements, handed over column by column."""
+    for batch in batches:
+        texts, items, ends = [], [], [0]
+        for html in batch.column("html").to_pylist():
             page = _Elements(html or "")
             texts.append("".join(page.text))
-            elements.append([dict(zip(names, item)) for item in page.items])
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "html": pdf["html"],
-                            "text": texts, "elements": elements})
+            items += page.items
+            ends.append(len(items))
+        columns = list(zip(*items)) or [()] * len(_FIELDS)
+        arrays = [pa.array([list(a.items()) for a in c] if f.name == "attrs" else c, type=f.type) for f, c in zip(_FIELDS, columns)]
+        flat = pa.StructArray.from_arrays(arrays, fields=list(_FIELDS))
+        elements = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url"), batch.column("html"), pa.array(texts, pa.string()), elements],
+            names=["page_id", "url", "html", "text", "elements"])
 
 
 def parse(pages: DataFrame) -> DataFrame:
     """Pages to (page_id, url, html, text, elements): one row per page, elements in document order."""
-    return pages.select("page_id", "url", "html").mapInPandas(
+    return pages.select("page_id", "url", "html").mapInArrow(
         _parse_batches, f"page_id {dict(pages.dtypes)['page_id']}, url string, html string, text string, elements array<{ELEMENT}>")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.numbers import pearson
-from .quantiles import column_quantiles
+from .quantiles import column_quantiles, present
 
 
 def numeric_names(df: DataFrame) -> list[str]:
@@ -31,16 +31,14 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, sample std, min, quartiles (interpolated), max, nulls: one row per column."""
     columns = columns or numeric_names(df)
     parts = ["count", "mean", "std", "min", "p25", "p50", "p75", "max", "nulls"]
-    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75])
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        q = [F.lit(v).cast("double") for v in quartiles[c]]
-        aggs.append(F.struct(
-            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
-            F.max(x).alias("max"), F.count_if(x.isNull()).alias("nulls")).alias(c))
-    return _rows_per_column(df.agg(*aggs), columns, parts)
+    values = df.agg(*[F.struct(
+        F.count(present(c)).alias("count"), F.avg(present(c)).alias("mean"), F.stddev_samp(present(c)).alias("std"),
+        F.min(present(c)).alias("min"), F.max(present(c)).alias("max"), F.count_if(present(c).isNull()).alias("nulls"),
+        F.approx_count_distinct(present(c)).alias("distinct")).alias(c) for c in columns]).first()
+    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75], sizes={c: values[c]["distinct"] for c in columns})
+    rows = [(c, *(values[c][p] for p in parts[:4]), *quartiles[c], values[c]["max"], values[c]["nulls"]) for c in columns]
+    kinds = ["bigint"] + ["double"] * 7 + ["bigint"]
+    return df.sparkSession.createDataFrame(rows, "column string, " + ", ".join(f"{p} {k}" for p, k in zip(parts, kinds)))
 
 
 def overview(df: DataFrame) -> DataFrame:

@@ -15,16 +15,24 @@ from .ranking import number_rows
 SKETCH_ACCURACY = 10_000
 
 
-def column_quantiles(df: DataFrame, columns: list[str], probs: list[float],
-                     limit: int = 1_000_000) -> dict[str, list[float | None]]:
+def present(column: str):
+    """The value as a double, NaN taken as missing."""
+    x = F.col(column).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def column_quantiles(df: DataFrame, columns: list[str], probs: list[float], limit: int = 200_000,
+                     sizes: dict | None = None) -> dict[str, list[float | None]]:
     """Quantiles of each column, linearly interpolated; missing values are ignored.
 
-    ``limit`` bounds the distinct values the exact step may hold.
+    ``limit`` bounds the distinct values the exact step may hold; ``sizes`` are approximate
+    distinct counts, if the caller has them from a pass of its own.
     """
     if not columns:
         return {}
-    x = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
-    sizes = df.agg(*[F.approx_count_distinct(x[c]).alias(c) for c in columns]).first()
+    x = {c: present(c) for c in columns}
+    if sizes is None:
+        sizes = df.agg(*[F.approx_count_distinct(x[c]).alias(c) for c in columns]).first().asDict()
     small = [c for c in columns if sizes[c] <= limit]
     wide = [c for c in columns if c not in small]
     out = {}

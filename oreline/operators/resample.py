@@ -69,6 +69,7 @@ def smote(df: DataFrame, row_id: str, label: str, features: list[str], k: int =
     Classes with a single row stay as they are.
     """
     from . import scale as S
+    df = materialize(df.select(row_id, label, *features))
     stats = S.learn(df, features)
     filled = S.impute_median(df, features, stats).select(F.col(row_id).cast("bigint").alias("_id"), F.col(label), *features)
     counts = class_counts(df, label)

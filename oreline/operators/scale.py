@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from .quantiles import column_quantiles
+from .quantiles import column_quantiles, present
 
 
 @dataclass
@@ -19,14 +19,17 @@ class Statistics:
 
 
 def learn(df: DataFrame, columns: list[str], median: bool = True) -> Statistics:
-    """Mean, population std, min, max and (optionally) median of each column."""
-    row = df.agg(*[F.struct(
-        F.avg(F.col(c).cast("double")).alias("mean"), F.stddev_pop(F.col(c).cast("double")).alias("std"),
-        F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max")).alias(c)
-        for c in columns]).first()
+    """Mean, population std, min, max, missing rows and (optionally) median of each column."""
+    parts = {c: [F.avg(present(c)).alias("mean"), F.stddev_pop(present(c)).alias("std"), F.min(present(c)).alias("min"),
+                 F.max(present(c)).alias("max"), F.count_if(present(c).isNull()).alias("missing")] for c in columns}
+    if median:
+        for c in columns:
+            parts[c].append(F.approx_count_distinct(present(c)).alias("distinct"))
+    row = df.agg(*[F.struct(*parts[c]).alias(c) for c in columns]).first()
     stats = {c: {k: (0.0 if v is None else v) for k, v in row[c].asDict().items()} for c in columns}
     if median:
-        for c, q in column_quantiles(df, columns, [0.5]).items():
+        sizes = {c: stats[c].pop("distinct") for c in columns}
+        for c, q in column_quantiles(df, columns, [0.5], sizes=sizes).items():
             stats[c]["median"] = q[0] or 0.0
     return Statistics(stats)
 

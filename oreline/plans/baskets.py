@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.hashing import hash32, hash32_sql, uniform_sql
 from ..operators import basket as B
+from ..session import materialize
 from ..sources.tables import table
 from .registry import query
 
@@ -232,9 +233,9 @@ def recommend_basket(spark, sf):
        f"{_join('c', 'consequents')}, round(confidence, 6) AS confidence "
        "FROM baskets b JOIN ranked r ON b.items = r.items WHERE rank <= 2")
 def recommend_all(spark, sf):
-    rules = _rules(spark, sf, threshold=0.3)
+    baskets = materialize(B.encode(order_items(spark, sf, "p_type")))
+    rules = B.association_rules(B.frequent_itemsets(baskets, SUPPORT), min_threshold=0.3)
     stable = rules.withColumns({"confidence": F.round("confidence", 9), "lift": F.round("lift", 9)})
-    baskets = B.encode(order_items(spark, sf, "p_type"))
     out = B.recommend_all(stable, baskets, 2).drop("lift")
     return _text(out.withColumn("confidence", F.round("confidence", 6)), "antecedents", "consequents")
 

@@ -165,9 +165,21 @@ def row_gather(spark, sf):
     return R.oversample(labelled(spark, sf), "row_id", "label").where("copy > 0").groupBy("row_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
-@query("bal3_smote")
+_F = ("f AS (SELECT row_id, label, n_chars :: DOUBLE AS chars, len(regexp_extract_all(text, '\\S+')) :: DOUBLE AS words, len(regexp_extract_all(text, '\\n')) :: DOUBLE AS lines, "
+      "len(regexp_extract_all(text, '\\d')) :: DOUBLE AS digits, len(regexp_extract_all(text, '[^\\w\\s]')) :: DOUBLE AS marks FROM y JOIN documents ON row_id = doc_id)")
+_NN_DIST = "sqrt((a.chars - b.chars) ** 2 + (a.words - b.words) ** 2 + (a.lines - b.lines) ** 2 + (a.digits - b.digits) ** 2 + (a.marks - b.marks) ** 2)"
+
+
+@query("bal3_smote",
+       f"WITH {_L}, {_STRATA}, {_F}, {_DRAWN}, nd AS (SELECT a.row_id AS qid, b.row_id AS pid, {_NN_DIST} AS d FROM f a JOIN f b ON a.label = b.label AND a.row_id <> b.row_id), "
+       "nr AS (SELECT qid, pid, row_number() OVER (PARTITION BY qid ORDER BY round(d, 12), pid) AS rank FROM nd), "
+       f"dr AS (SELECT k.label, k.j, p.row_id, {hash32_sql('k.label', 'j', '42', chr(39) + 'n' + chr(39))} % least(4, n - 1) + 1 AS rank, "
+       f"({hash32_sql('k.label', 'j', '42', chr(39) + 'g' + chr(39))} + 0.5) / 4294967296.0 AS gap FROM k JOIN p ON p.label = k.label AND p.pos = k.pick WHERE n > 1) "
+       "SELECT chars, words, lines, digits, marks, label, CAST(NULL AS BIGINT) AS source, CAST(NULL AS BIGINT) AS neighbour, CAST(NULL AS DOUBLE) AS gap FROM f UNION ALL SELECT "
+       + ", ".join(f"round(a.{c} + gap * (b.{c} - a.{c}), 4)" for c in DOC_FEATURES) +
+       ", a.label, a.row_id, b.row_id, round(gap, 4) FROM dr JOIN nr ON nr.qid = dr.row_id AND nr.rank = dr.rank JOIN f a ON a.row_id = dr.row_id JOIN f b ON b.row_id = nr.pid")
 def smote(spark, sf):
-    return rounded(R.smote(documents(spark, sf), "row_id", "label", DOC_FEATURES))
+    return rounded(R.smote(documents(spark, sf), "row_id", "label", DOC_FEATURES), 4)
 
 
 @query("bal3_smote_class_sizes", f"WITH {_L}, c AS (SELECT label, count(*) AS n FROM y GROUP BY 1) SELECT label, (SELECT max(n) FROM c) AS n FROM c WHERE n > 1")
@@ -318,11 +330,21 @@ def regression_boosting(spark, sf):
     return _regressed(spark, sf, L.boosted_regressor, {"n_estimators": 10}, False)
 
 
-@query("eva1_fit_and_score")
+_SCALED = ", ".join(f"({c} - (SELECT avg({c}) FROM tr)) / (SELECT stddev_pop({c}) FROM tr) AS {c}" for c in DOC_FEATURES)
+
+
+@query("eva1_fit_and_score",
+       f"WITH {_L}, {_STRATA}, {_F}, t AS (SELECT f.*, pos <= round(n * 0.25) AS test FROM f JOIN p ON f.row_id = p.row_id), tr AS (SELECT * FROM t WHERE NOT test), "
+       f"z AS (SELECT row_id, label, test, {_SCALED} FROM t), d AS (SELECT a.row_id AS qid, a.label AS y, b.row_id AS pid, b.label, {_NN_DIST} AS d FROM z a JOIN z b ON a.test AND NOT b.test), "
+       "r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(d, 12), pid) AS rank FROM d), "
+       "v AS (SELECT qid, any_value(y) AS y, label, count(*) AS n FROM r WHERE rank <= 3 GROUP BY qid, label), "
+       "w AS (SELECT qid, y, label FROM v QUALIFY row_number() OVER (PARTITION BY qid ORDER BY n DESC, label) = 1) "
+       "SELECT y :: DOUBLE AS actual, round(avg(CASE WHEN y = label THEN 1.0 ELSE 0.0 END), 6) AS rate FROM w GROUP BY y")
 def fit_and_score(spark, sf):
     parted = P.stratified_split(documents(spark, sf), "row_id", "label")
     _, tables = E.train_classifier(parted, DOC_FEATURES, L.knn, {"n_neighbors": 3})
-    return rounded(tables["classes"])
+    seen = tables["confusion"].groupBy("actual").agg(F.sum("n").alias("_n")).where("_n > 0").select("actual")
+    return rounded(tables["classes"].join(seen, "actual"))
 
 
 @query("eva2_benchmark_regressors")
@@ -378,3 +400,37 @@ def parameter_grid(spark, sf):
     per = labelled(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     grid = F.array(*[F.struct(F.lit(d).alias("max_depth"), F.lit(s).alias("min_rows")) for d in (2, 4, 8) for s in (2, 10)])
     return per.select("n", F.explode(grid).alias("g")).groupBy("g.max_depth", "g.min_rows").agg(F.count_if(F.col("n") >= F.col("g.min_rows")).alias("classes"))
+
+
+class MeanLearner:
+    """A user-supplied learner: predicts the mean label of its training rows."""
+
+    def __init__(self, shift=0.0):
+        self.shift, self.value = shift, None
+
+    def fit(self, df):
+        model = MeanLearner(self.shift)
+        model.value = df.agg(F.avg("label")).first()[0] + self.shift
+        return model
+
+    def transform(self, df):
+        return df.withColumn("prediction", F.lit(self.value))
+
+
+_CV = ("WITH y AS (SELECT p_partkey AS row_id, p_retailprice AS label FROM part), " + _PLACED + ", f AS (SELECT label, (pos - 1) % 3 AS fold FROM p), "
+       "m AS (SELECT k AS fold, (SELECT avg(label) + 5 FROM f WHERE f.fold <> k) AS guess FROM (SELECT unnest(range(0, 3)) AS k))")
+
+
+@query("udf3_model_factory", _CV + " SELECT CAST(f.fold AS INTEGER) AS fold, 'neg_mean_absolute_error' AS metric, round(-avg(abs(label - guess)), 6) AS value FROM f JOIN m ON f.fold = m.fold GROUP BY f.fold")
+def model_factory(spark, sf):
+    scores = E.cross_validate(parts(spark, sf), PART_FEATURES, lambda p: MeanLearner(p["shift"]), {"shift": 5.0}, 3, "kfold", "neg_mean_absolute_error")
+    return rounded(scores.select("fold", "metric", "value"))
+
+
+@query("udf4_scorers_by_name", _W + ", o AS (SELECT sum(tp) / sum(sup) AS a, sum(p * sup) / sum(sup) AS p, sum(r * sup) / sum(sup) AS r, "
+       "sum(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END * sup) / sum(sup) AS f FROM q) "
+       "SELECT unnest(['accuracy', 'precision_weighted', 'recall_weighted', 'f1_weighted']) AS scorer, round(unnest([a, p, r, f]), 6) AS value FROM o")
+def scorers_by_name(spark, sf):
+    df = guessed(spark, sf)
+    rows = [(name, M.score(df, "label", "prediction", name)) for name in ("accuracy", "precision_weighted", "recall_weighted", "f1_weighted")]
+    return rounded(spark.createDataFrame(rows, "scorer string, value double"))

@@ -191,3 +191,13 @@ def concat_unequal(spark, sf):
     a = table(spark, sf, "supplier").selectExpr("s_suppkey AS id", "s_name AS name", "s_acctbal AS balance")
     b = table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_acctbal AS balance", "c_mktsegment AS segment")
     return a.unionByName(b, allowMissingColumns=True)
+
+
+@query("udf2_native_row_functions",
+       "SELECT o_orderkey, CASE WHEN o_totalprice < 100000 THEN 'BAJO' WHEN o_totalprice < 300000 THEN 'MEDIO' ELSE 'ALTO' END AS range, "
+       "lower(trim(regexp_replace(o_orderpriority, '[^A-Z]+', ' ', 'g'))) AS priority FROM orders")
+def native_row_functions(spark, sf):
+    """What per-row callbacks did, as expressions."""
+    return table(spark, sf, "orders").select(
+        "o_orderkey", X.price_range(F.col("o_totalprice"), 100000, 300000).alias("range"),
+        F.lower(X.clean_text(X.substitute(F.col("o_orderpriority"), [("[^A-Z]+", " ")]))).alias("priority"))
