@@ -38,7 +38,9 @@ def oversample(df: DataFrame, row_id: str, label: str, seed: int = 42) -> DataFr
         return df.withColumn("copy", F.lit(0).cast("bigint"))
     top = max(counts.values())
     draws = _draws(df.sparkSession, {v: c for v, c in counts.items() if c < top}, top, dict(df.dtypes)[label], seed)
-    placed = hash_order(df, row_id, seed, [label], "_pos", None)
+    # only the growing classes take part; skewed picks of a tiny class are split by the adaptive join
+    growing = df.where(F.col(label).isin(*[v for v, c in counts.items() if c < top]))
+    placed = hash_order(growing, row_id, seed, [label], "_pos", None)
     copies = placed.join(draws, (F.col(label) == F.col("_y")) & (F.col("_pos") == F.col("_pick")))
     return df.withColumn("copy", F.lit(0).cast("bigint")).unionByName(
         copies.select(*df.columns, F.col("_j").alias("copy")))

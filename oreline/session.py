@@ -25,6 +25,9 @@ def build_session(app: str = "oreline", master: str | None = None, **conf) -> Sp
     return builder.getOrCreate()
 
 
+_LOCAL: dict[str, str | None] = {}       # temporary folders of local-mode applications
+
+
 def _conf(spark: SparkSession, key: str) -> str | None:
     return spark.sparkContext.getConf().get(key) or spark.conf.get(key, None)
 
@@ -38,8 +41,8 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="oreline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _LOCAL.setdefault(spark.sparkContext.applicationId, None) or tempfile.mkdtemp(prefix="oreline-")
+        _LOCAL[spark.sparkContext.applicationId] = base
     return f"{base.rstrip('/')}/oreline-{spark.sparkContext.applicationId}"
 
 
