@@ -57,7 +57,7 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.01,
         return baskets.sparkSession.createDataFrame([], schema)
     need = least_count(min_support, n)
     model = FPGrowth(itemsCol="items", minSupport=(need - 0.5) / n,
-                     minConfidence=1.0).fit(baskets)
+                     minConfidence=1.0, numPartitions=2 * shuffle_width(baskets.sparkSession)).fit(baskets)
     found = model.freqItemsets.select(
         F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("freq"))
     if max_len:

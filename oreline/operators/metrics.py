@@ -14,7 +14,10 @@ def label_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def confusion(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Dense confusion table (actual, predicted, n) over the sorted labels of both columns."""
     counts = label_counts(df, actual, predicted)
-    labels = sorted({v for r in counts.select("actual", "predicted").limit(LABEL_LIMIT ** 2).collect() for v in r if v is not None})
+    both = counts.select(F.explode(F.array(F.col("actual"), F.col("predicted").cast(dict(counts.dtypes)["actual"]))).alias("v"))
+    labels = sorted(r["v"] for r in both.where("v IS NOT NULL").distinct().limit(LABEL_LIMIT + 1).collect())
+    if len(labels) > LABEL_LIMIT:
+        raise ValueError(f"more than {LABEL_LIMIT} labels")
     kind = dict(counts.dtypes)["actual"]
     names = F.array(*[F.lit(v) for v in labels]).cast(f"array<{kind}>")
     spark = df.sparkSession

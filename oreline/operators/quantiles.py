@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ..session import shuffle_width
 from .ranking import number_rows
 
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 2_000
 
 
 def present(column: str):
@@ -52,15 +52,22 @@ def _narrowed(values: DataFrame, probs, limit) -> list[float]:
     # bracket per wanted rank: closed interval [a, b], rows below a
     brackets = [(float("-inf"), float("inf"), 0, n) for _ in ranks]
     while True:
-        aggs = []
-        for i, (r, (a, b, below, inside)) in enumerate(zip(ranks, brackets)):
+        wanted = []
+        for r, (a, b, below, inside) in zip(ranks, brackets):
             lo = (int(r) - below) / inside - 2.0 / SKETCH_ACCURACY
             hi = (int(r) + 1 - below) / inside + 2.0 / SKETCH_ACCURACY
-            cut = F.when(x.between(a, b), x)
-            aggs += [F.percentile_approx(cut, F.lit(min(max(lo, 0.0), 1.0)), F.lit(SKETCH_ACCURACY)).alias(f"a{i}"),
-                     F.percentile_approx(cut, F.lit(min(max(hi, 0.0), 1.0)), F.lit(SKETCH_ACCURACY)).alias(f"b{i}")]
-        ends = values.agg(*aggs).first()
-        tight = [(ends[f"a{i}"], ends[f"b{i}"]) for i in range(len(ranks))]
+            wanted.append([min(max(lo, 0.0), 1.0), min(max(hi, 0.0), 1.0)])
+        # wanted ranks that share a bracket share one sketch (all of them in the first round)
+        shared: dict[tuple, list[int]] = {}
+        for i, (a, b, *_) in enumerate(brackets):
+            shared.setdefault((a, b), []).append(i)
+        sketches = [F.percentile_approx(F.when(x.between(a, b), x), F.array(*[F.lit(p) for i in who for p in wanted[i]]),
+                                        F.lit(SKETCH_ACCURACY)) for (a, b), who in shared.items()]
+        ends = values.agg(*sketches).first()
+        tight = [None] * len(ranks)
+        for found, who in zip(ends, shared.values()):
+            for at, i in enumerate(who):
+                tight[i] = (found[2 * at], found[2 * at + 1])
         counts = values.agg(*[e for i, (a, b) in enumerate(tight) for e in (
             F.count_if(x < a).alias(f"l{i}"), F.count_if(x.between(a, b)).alias(f"m{i}"),
             F.approx_count_distinct(F.when(x.between(a, b), x)).alias(f"d{i}"))]).first()
