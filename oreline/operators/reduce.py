@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import pearson
@@ -45,21 +45,44 @@ class Components:
         return wide.select(F.explode(F.array(*cells)).alias("_s")).select("_s.*")
 
 
+def _signed(loadings: np.ndarray) -> np.ndarray:
+    """Flip components so that the first of the largest loadings is positive."""
+    loadings = loadings.copy()
+    for k in range(loadings.shape[1]):
+        size = np.abs(loadings[:, k])
+        if loadings[np.argmax(size >= size.max() - 1e-9), k] < 0:
+            loadings[:, k] *= -1
+    return loadings
+
+
 def principal_components(df: DataFrame, columns: list[str], n: int = 2, scale: bool = True) -> Components:
     """Components of the centred (and scaled) columns. Signs: the first of the largest loadings is positive."""
     stats = S.learn(df, columns, median=False)
     centred = df.select(*[((F.col(c) - stats[c]["mean"]) / ((stats[c]["std"] or 1.0) if scale else 1.0)).alias(c) for c in columns])
     vectors = VectorAssembler(inputCols=columns, outputCol="x").transform(centred)
     model = PCA(k=n, inputCol="x", outputCol="pc").fit(vectors)
-    loadings = model.pc.toArray().copy()
-    for k in range(n):
-        size = np.abs(loadings[:, k])
-        if loadings[np.argmax(size >= size.max() - 1e-9), k] < 0:
-            loadings[:, k] *= -1
-    return Components(columns, stats, loadings, model.explainedVariance.toArray() * 100, scale)
+    return Components(columns, stats, _signed(model.pc.toArray()), model.explainedVariance.toArray() * 100, scale)
+
+
+@dataclass
+class ArrayComponents:
+    mean: list[float]
+    loadings: np.ndarray
+    share: np.ndarray
+
+    def coordinates(self, df: DataFrame, x: str, keep: list[str]) -> DataFrame:
+        """PC1, PC2, ... of each row, computed along the array."""
+        mean = F.array(*[F.lit(v) for v in self.mean])
+        centred = F.zip_with(F.col(x).cast("array<double>"), mean, lambda v, m: v - m)
+        cells = []
+        for k in range(self.loadings.shape[1]):
+            weights = F.array(*[F.lit(float(v)) for v in self.loadings[:, k]])
+            cells.append(F.aggregate(F.zip_with(centred, weights, lambda v, w: v * w), F.lit(0.0), lambda s, v: s + v).alias(f"PC{k + 1}"))
+        return df.select(*keep, *cells)
 
 
-def array_columns(df: DataFrame, x: str, width: int, keep: list[str], prefix: str = "f") -> DataFrame:
-    """One column per position of an array (or vector) column."""
-    value = F.col(x) if dict(df.dtypes)[x].startswith("array") else vector_to_array(x)
-    return df.select(*keep, *[value[i].cast("double").alias(f"{prefix}{i}") for i in range(width)])
+def array_components(df: DataFrame, x: str, n: int = 2) -> ArrayComponents:
+    """Components of an array column as it is (centred, not scaled); wide arrays stay one column."""
+    rows = df.select(F.posexplode(x).alias("i", "v")).groupBy("i").agg(F.avg(F.col("v").cast("double")).alias("m")).orderBy("i").collect()
+    model = PCA(k=n, inputCol="_v", outputCol="pc").fit(df.select(array_to_vector(F.col(x).cast("array<double>")).alias("_v")))
+    return ArrayComponents([r["m"] for r in rows], _signed(model.pc.toArray()), model.explainedVariance.toArray() * 100)

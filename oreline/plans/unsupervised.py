@@ -72,9 +72,8 @@ def principal_plane(spark, sf):
 
 @query("uns2_pca_embeddings")
 def pca_embeddings(spark, sf):
-    wide = P.array_columns(vectors(spark, sf), "x", 64, ["row_id"])
-    pcs = P.principal_components(wide, [f"f{i}" for i in range(64)], 2, scale=False)
-    return rounded(pcs.coordinates(wide, ["row_id"]), 5)
+    rows = vectors(spark, sf)
+    return rounded(P.array_components(rows, "x").coordinates(rows, "x", ["row_id"]), 5)
 
 
 def _dist(a, b):
@@ -160,9 +159,7 @@ def cluster_table(spark, sf):
 def projected_clusters(spark, sf):
     """Rows and centres in the plane of the first two components."""
     rows, centres = C.kmeans_from(vectors(spark, sf), start_centres(spark, sf), 2)
-    names = [f"f{i}" for i in range(64)]
-    wide = P.array_columns(rows, "x", 64, ["row_id", "cluster"])
-    pcs = P.principal_components(wide, names, 2, scale=False)
-    middle = spark.createDataFrame([(None, i, *map(float, c)) for i, c in enumerate(centres)],
-                                   "row_id bigint, cluster int, " + ", ".join(f"{n} double" for n in names))
-    return rounded(pcs.coordinates(wide.unionByName(middle), ["row_id", "cluster"]), 5)
+    pcs = P.array_components(rows, "x")
+    middle = spark.createDataFrame([(None, i, [float(v) for v in c]) for i, c in enumerate(centres)], "row_id bigint, cluster int, x array<double>")
+    both = rows.select("row_id", "cluster", "x").unionByName(middle)
+    return rounded(pcs.coordinates(both, "x", ["row_id", "cluster"]), 5)

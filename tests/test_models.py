@@ -130,6 +130,16 @@ def test_components(spark):
     assert abs(np.corrcoef(at.T)[0, 1]) < 1e-8 and abs(pcs.share.sum() - 100) < 1e-8 and np.allclose(at.mean(0), 0, atol=1e-9)
 
 
+def test_array_components_equal_numpy(spark):
+    x = np.random.default_rng(7).normal(size=(80, 5)) @ np.diag([3, 2, 1, .5, .1])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "row_id bigint, x array<double>")
+    pcs = R.array_components(df, "x", 2)
+    got = np.array([[r.PC1, r.PC2] for r in pcs.coordinates(df, "x", ["row_id"]).orderBy("row_id").collect()])
+    _, s, v = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    assert np.allclose(np.abs(got), np.abs((x - x.mean(0)) @ v[:2].T), atol=1e-8)
+    assert np.allclose(pcs.share, (s ** 2 / (s ** 2).sum() * 100)[:2])
+
+
 def as_vectors(df):
     return df.select("row_id", F.array("a", "b").alias("x"))
 
