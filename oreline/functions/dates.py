@@ -31,3 +31,9 @@ def advance(ts: Column, steps: Column, freq: Column) -> Column:
              .when(freq == "ME", F.last_day(F.add_months(day, on_end.cast("int"))))
              .otherwise(F.date_add(day, steps.cast("int"))))
     return moved.cast("timestamp_ntz")
+
+
+def epoch_seconds(ts: Column) -> Column:
+    """Seconds since 1970 of a zone-less timestamp, whatever the session time zone."""
+    zero = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", zero, ts.cast("timestamp_ntz")) / 1e6

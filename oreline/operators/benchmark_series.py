@@ -24,8 +24,8 @@ def _complete(forecasts: DataFrame, test: DataFrame) -> DataFrame:
     return good.join(keep, ["series_id", "model"])
 
 
-def benchmark(series: DataFrame, test_size: float = 0.2, m: int = 7, models=("hw", "hw_cal", "arima", "arima_cal"),
-              order: arima.Order = arima.Order(1, 1, 1), step: float = 0.1) -> DataFrame:
+def benchmark(series: DataFrame, test_size: float = 0.2, m: int | None = None, models=("hw", "hw_cal", "arima", "arima_cal"),
+              order: arima.Order = arima.Order(1, 1, 1), step: float = 0.1, freq: str = "D") -> DataFrame:
     """MSE, RMSE, RE and CORR per series and model; ``"simple"`` adds mean, naive and drift."""
     parts = materialize(split_tail(series, test_size))
     train = parts.where("split = 'train'").select("series_id", "ts", "value")
@@ -37,9 +37,9 @@ def benchmark(series: DataFrame, test_size: float = 0.2, m: int = 7, models=("hw
     if "simple" in models:
         arms.append(_aligned(simple_forecasts(train, longest), test))
     if "hw" in models:
-        arms.append(_aligned(smoothing.fit_forecast(train, longest, m=m), test))
+        arms.append(_aligned(smoothing.fit_forecast(train, longest, m=m, freq=freq), test))
     if "hw_cal" in models:
-        arms.append(_aligned(smoothing.calibrated_forecast(train, test, longest, step, m=m), test))
+        arms.append(_aligned(smoothing.calibrated_forecast(train, test, longest, step, m=m, freq=freq), test))
     if "arima" in models:
         arms.append(_aligned(arima.forecast(train, longest, order), test))
     if "arima_cal" in models:

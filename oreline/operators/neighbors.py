@@ -18,6 +18,7 @@ from ..session import materialize
 
 MAX_PIVOTS = 256
 CELL_ROWS = 2048         # rows a cell should hold, so that a cell is worth a task
+MAX_CELLS = 1_000_000
 POINT_BLOCK = 4096
 QUERY_BLOCK = 4096
 
@@ -107,8 +108,10 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, same_rows: bool = Fal
     picked = p.orderBy(hash32(F.col("pid"), 11), "pid").limit(m).select("x").collect()
     pivots = np.unique(np.array([r["x"] for r in picked], float), axis=0)
     filed = materialize(p.mapInPandas(_assign(pivots), "pid bigint, grp string, x array<double>, cell int, r double"))
-    # one row per (group, pivot): bounded by classes times MAX_PIVOTS
-    cells = filed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi")).toPandas()
+    # one row per (group, pivot); the groups are classes, so this table is small, and checked
+    cells = filed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi")).limit(MAX_CELLS + 1).toPandas()
+    if len(cells) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} cells: too many groups")
     stats = {g: (c["cell"].to_numpy(), c["n"].to_numpy(), c["lo"].to_numpy(), c["hi"].to_numpy())
              for g, c in cells.groupby("grp")}
     routed = materialize(q.mapInPandas(_route(pivots, stats, want), "qid bigint, grp string, x array<double>, cell int"))

@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.dates import epoch_seconds
 from ..functions.hashing import HASH_RANGE, hash32
 from ..session import shuffle_width
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
 
 def number_rows(df: DataFrame, keys: list[str], bucket: Column, order: list,
                 out: str = "pos", total: str | None = None) -> DataFrame:
@@ -56,7 +59,7 @@ def time_order(df: DataFrame, keys: list[str], ts: str, tie: list[str] | None =
     one two-value aggregate (or ``span`` in seconds when the caller knows it).
     """
     spark = df.sparkSession
-    seconds = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
+    seconds = epoch_seconds(F.col(ts)) if dict(df.dtypes)[ts] not in _NUMERIC else F.col(ts).cast("double")
     if span is None:
         lo, hi = df.agg(F.min(seconds), F.max(seconds)).first()
     else:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions.dates import advance, frequency_of
+from ..functions.dates import advance, epoch_seconds, frequency_of
 from ..functions.numbers import pearson
 from ..session import shuffle_width
 from .quantiles import grouped_quantiles
@@ -24,7 +24,7 @@ def fill_missing(series: DataFrame) -> DataFrame:
     Inside a slice of time by window; across slices from the last (first) known value of the
     neighbouring slices, a table with one row per series and slice.
     """
-    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    seconds = epoch_seconds(F.col("ts"))
     lo, hi = series.agg(F.min(seconds), F.max(seconds)).first()
     width = max(((hi or 0.0) - (lo or 0.0)) / (4 * shuffle_width(series.sparkSession)), 1e-6)
     cut = series.withColumn("_cell", F.floor((seconds - F.lit(lo or 0.0)) / width))

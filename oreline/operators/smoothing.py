@@ -197,6 +197,11 @@ def smooth_forecast(series: DataFrame, steps: int, alpha: float, beta: float | N
     return _project(ahead, m).select("series_id", F.lit(model).alias("model"), "step", "ts", "yhat")
 
 
+def season_length(m: int | None, freq: str | None) -> int:
+    """The given season length, else the usual one of the frequency (0 means no season)."""
+    return SEASON_BY_FREQUENCY.get(freq or "D", 7) if m is None else m
+
+
 def fit_parameters(series: DataFrame, trend: bool = True, m: int = 7, rounds: int = 3) -> DataFrame:
     """Parameters with the least squared one-step error, by a grid that is narrowed per series.
 
@@ -216,23 +221,24 @@ def fit_parameters(series: DataFrame, trend: bool = True, m: int = 7, rounds: in
     return best
 
 
-def fit_forecast(series: DataFrame, steps: int, trend: bool = True, m: int = 7, freq: str | None = "D",
+def fit_forecast(series: DataFrame, steps: int, trend: bool = True, m: int | None = None, freq: str | None = "D",
                  model: str = "Holt-Winters") -> DataFrame:
-    """Forecast with fitted parameters."""
+    """Forecast with fitted parameters; ``m=None`` takes the season of the frequency."""
+    m = season_length(m, freq)
     placed = positions(series)
     best = fit_parameters(series, trend, m)
     ahead = horizon(best.join(_lengths(placed, series, freq), "series_id"), steps)
     return _project(ahead, m).select("series_id", F.lit(model).alias("model"), "step", "ts", "yhat")
 
 
-def calibrate(train: DataFrame, test: DataFrame, step: float = 0.1, trend: bool = True, m: int = 7,
+def calibrate(train: DataFrame, test: DataFrame, step: float = 0.1, trend: bool = True, m: int | None = None,
               freq: str | None = "D", parts: int = 8) -> DataFrame:
     """Grid 0, step, .., 1 in every parameter; the triple with the least error on ``test`` wins.
 
     Returns (series_id, alpha, beta, gamma, mse, state, n, last_ts, freq). Pass the tail of the
     training data as ``test`` to keep the real test part unseen.
     """
-    values = np.append(np.arange(0, 1, step), 1.0)
+    m, values = season_length(m, freq), np.append(np.arange(0, 1, step), 1.0)
     placed = materialize(positions(train))
     fitted = _smooth(placed, None, values, trend, m, parts).join(_lengths(placed, train, freq), "series_id")
     width = test.groupBy("series_id").agg(F.count(F.lit(1)).alias("_h"))
@@ -246,6 +252,7 @@ def calibrate(train: DataFrame, test: DataFrame, step: float = 0.1, trend: bool
 
 
 def calibrated_forecast(train: DataFrame, test: DataFrame, steps: int, step: float = 0.1, trend: bool = True,
-                        m: int = 7, freq: str | None = "D", model: str = "Holt-Winters Calibrado") -> DataFrame:
+                        m: int | None = None, freq: str | None = "D", model: str = "Holt-Winters Calibrado") -> DataFrame:
+    m = season_length(m, freq)
     best = calibrate(train, test, step, trend, m, freq)
     return _project(horizon(best, steps), m).select("series_id", F.lit(model).alias("model"), "step", "ts", "yhat")
