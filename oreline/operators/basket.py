@@ -290,7 +290,7 @@ def weighted_sample(groups: DataFrame, group: str, size: str, items: DataFrame,
         F.floor(F.col("lo") * slots), F.least(F.floor(F.col("hi") * slots), F.lit(slots - 1))))))
     # the short group rows are placed first, so the draws made from them need no further move
     todo = (groups.select(F.col(group), F.least(F.col(size).cast("int"), F.lit(n_items)).alias("_k"))
-            .repartition(F.col(group)))
+            .repartition(4 * shuffle_width(groups.sparkSession), F.col(group)))
     done, factor = None, 2
     while True:
         draws = (todo.withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_k") * factor + 4)))
