@@ -3,10 +3,11 @@
 Method. Every shingle of a document draws a random permutation of the signature's slots and one rank per step;
 step j puts ``j + rank`` into the slot that the permutation visits at step j, and each slot keeps its minimum.
 A document is done as soon as all slots hold values below the next step, so long documents need one step only.
-Bands of equal slots meet in buckets; a bucket never emits all its pairs. Instead a few members of each bucket
-(the ones that meet most others) are compared with the rest, links are merged into components, and only members
-whose component differs go on to the next round with four times as many such members, until every pair of the
-bucket is either linked through its component or was compared. A bucket of near copies ends after one round.
+Bands of equal slots meet in buckets; a bucket never emits all its pairs. First the member that meets most others is
+compared with the rest of its bucket, and links are merged into components (union-find over the cluster); that settles
+groups of near copies. Where a bucket still holds members of different components, those members go on whose rarest
+shingles meet (``_prefixes``, an exact bound that frees texts which merely share a passage). They form small families; a
+family is compared in blocks of bounded size (``_compared``), and only links leave a block.
 
 Missed links. A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**36 = 6e-7. Candidates whose
 signatures agree in fewer than ``SLACK`` of the slots are dropped before the exact check; at similarity 0.8 that
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 from .arrays import Words, blocks, mix, shingles, strings
@@ -31,6 +32,8 @@ from .tables import components, keep_likely
 BANDS, ROWS = 36, 5
 SLOTS = BANDS * ROWS
 SLACK = 0.6
+COUNTERS = 1 << 20
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 200_000
 _STEP = np.uint64(40)
 
 
@@ -138,46 +141,131 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, lower: bool, percen
                     good[row + i] = common > 0 and common * 100 >= percent * (len(both) - common)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
-    found = materialize(keep_likely(texts, ["th"], wanted).join(wanted, "th", "left_semi").dropDuplicates(["th"]))
+    # an inner join: a semi join would be pushed below the filter and move every text
+    found = materialize(keep_likely(texts, ["th"], wanted).join(wanted, "th").dropDuplicates(["th"]))
     sides = (pairs.join(found.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a")
              .join(found.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b"))
     return sides.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _linked(classes: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame | None:
-    """(node, component) among the classes (th, n, bands, sketch); nodes without a link may be left out."""
-    cells = classes.select("th", "n", F.explode("bands").alias("key"))
+def _ordered(cells: DataFrame) -> DataFrame:
+    """(key, th, n, turn) of buckets with two members or more; ``turn``: who meets most others comes first."""
     sizes = cells.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     cells = materialize(cells.join(sizes, "key"))
-    # the order in which members of a bucket are compared with the others: who meets most comes first
     fame = cells.groupBy("th").agg(F.sum("members").alias("fame"))
-    cells = materialize(cells.join(fame, "th").select("key", "th", "n", F.struct((-F.col("fame")).alias("fame"), F.col("th").alias("by")).alias("turn")))
-    links, component, number = None, None, 1
-    while True:
-        state = cells.withColumn("component", F.col("th"))
-        if component is not None:
-            state = (cells.join(component.withColumnRenamed("node", "th"), "th", "left")
-                     .withColumn("component", F.coalesce("component", "th")))
-        state = materialize(state)
-        mixed = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        turn = F.row_number().over(Window.partitionBy("key").orderBy("turn"))
-        first = state.withColumn("place", turn).where(F.col("place") <= number)
-        chosen = materialize(first.join(mixed, "key", "left_semi").select(
-            "key", F.col("th").alias("p"), F.col("n").alias("p_n"), F.col("component").alias("p_component")))
-        if not chosen.take(1):
-            return component
-        pairs = (state.join(chosen, "key").where(
-            (F.col("component") != F.col("p_component")) & (F.col("n") * 100 >= F.col("p_n") * percent)
-            & (F.col("p_n") * 100 >= F.col("n") * percent))
-            .select(F.greatest("th", "p").alias("a"), F.least("th", "p").alias("b")).distinct())
-        pairs = materialize(_agreement(pairs, classes))
-        found = materialize(verified(pairs, texts, width, lower, percent))
-        links = found if links is None else links.unionByName(found)
-        component = materialize(components(links))
-        # a member that has met its whole bucket leaves it, a bucket of one component is done
-        cells = (state.join(chosen.select("key").distinct(), "key", "left_semi").drop("component")
-                 .join(chosen.select("key", F.col("p").alias("th")), ["key", "th"], "left_anti"))
-        number = min(number * 4, 256)
+    turn = F.struct((-F.col("fame")).alias("fame"), F.col("th").alias("by"))
+    return materialize(cells.join(fame, "th").select("key", "th", "n", turn.alias("turn")))
+
+
+def _mixed(cells: DataFrame, component: DataFrame) -> DataFrame:
+    """(key, th, component) of the buckets (key, th) whose members are of different components."""
+    state = cells.join(component.withColumnRenamed("node", "th"), "th", "left").withColumn("component", F.coalesce("component", "th"))
+    state = materialize(state)
+    mixed = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return materialize(state.join(materialize(mixed), "key"))
+
+
+def _prefixes(texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:
+    """(key, th, n): each text's rarest shingles, as many as it may lack at the wanted similarity, and one more.
+
+    Two sets of similarity s share s * max(n, m) elements or more, so whatever common order the shingles have, their first
+    n - ceil(s * n) + 1 meet. Rare ones first: a passage that thousands of texts share is in no prefix unless it fills
+    the text. The order is by counts in ``COUNTERS`` slots, a table of fixed size that goes to every task.
+    """
+    def count(batches):
+        for batch in batches:
+            total = np.zeros(COUNTERS, np.int64)
+            for _, part in blocks(strings(batch.column(1))):
+                found, _ = set_shingles(part, width, lower)
+                total += np.bincount((found >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "times"])
+    counted = texts.select("th", "text").mapInArrow(count, "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times")).toPandas()
+    often = np.zeros(COUNTERS, np.int64)
+    often[counted["slot"].to_numpy(np.int64)] = counted["times"].to_numpy(np.int64)
+    often = np.minimum(often, (1 << 31) - 1).astype(np.int32)
+
+    def cut(batches):
+        for batch in batches:
+            for row, part in blocks(strings(batch.column(1))):
+                found, begin = set_shingles(part, width, lower)
+                keys, owners, sizes = [], [], []
+                times = often[(found >> np.uint64(44)).astype(np.int64)]
+                for i, th in enumerate(batch.column(0).slice(row, len(part)).to_pylist()):
+                    own, seen = found[begin[i]:begin[i + 1]], times[begin[i]:begin[i + 1]]
+                    n = len(own)
+                    keep = n - -(-n * percent // 100) + 1 if n else 0
+                    first = np.lexsort((own, seen))[:keep]
+                    keys.append(own[first].view(np.int64))
+                    owners.append(np.full(keep, th, np.int64))
+                    sizes.append(np.full(keep, n, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, owners, sizes)], names=["key", "th", "n"])
+    return texts.select("th", "text").mapInArrow(cut, "key long, th long, n long")
+
+
+def _compared(families: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:
+    """Links (a, b) between members (th, family, component) of one family and different components.
+
+    A family is cut into blocks of bounded size and every two blocks meet in one task, which counts the common shingles
+    of all pairs at once by a matrix product; only links leave it.
+    """
+    def pack(batches):
+        for batch in batches:
+            for row, part in blocks(strings(batch.column(3))):
+                found, begin = set_shingles(part, width, lower)
+                body = [found[x:y].tobytes() for x, y in zip(begin[:-1], begin[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(i).slice(row, len(part)) for i in range(3)] + [
+                    pa.array(np.diff(begin), pa.int64()), pa.array(body, pa.binary())], names=["th", "family", "component", "n", "body"])
+    sets = materialize(texts.join(families, "th").select("th", "family", "component", "text")
+                       .mapInArrow(pack, "th long, family long, component long, n long, body binary"))
+    number = sets.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("number"))
+    cells = sets.join(materialize(number), "family").withColumn("own", F.pmod(F.xxhash64("th"), F.col("number")).cast("int"))
+    cells = cells.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("number") - 1)))
+    cells = cells.select("family", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j"), "own", "th", "component", "n", "body")
+
+    def meet(table):
+        th, component, n, own = (table.column(c).to_numpy() for c in ("th", "component", "n", "own"))
+        found = np.frombuffer(b"".join(table.column("body").to_pylist()), np.uint64)
+        row = np.repeat(np.arange(len(th)), n)
+        _, column, times = np.unique(found, return_inverse=True, return_counts=True)
+        shared = times[column] > 1
+        row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+        common = np.zeros((len(th), len(th)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            a, b = np.searchsorted(column, (start, start + 4096))
+            dense = np.zeros((len(th), 4096), np.float32)
+            dense[row[a:b], column[a:b] - start] = 1
+            common += dense @ dense.T
+        good = (common > 0) & (common * 100 >= percent * (n[:, None] + n[None, :] - common)) & (component[:, None] != component[None, :])
+        if len(np.unique(own)) > 1:              # pairs inside a block are seen where the block meets itself
+            good &= own[:, None] != own[None, :]
+        a, b = np.nonzero(np.triu(good, 1))
+        return pa.table({"a": th[a], "b": th[b]})
+    return cells.groupBy("family", "i", "j").applyInArrow(meet, "a long, b long")
+
+
+def _linked(classes: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:
+    """(node, component) among the classes (th, n, bands, sketch); nodes without a link may be left out."""
+    cells = _ordered(classes.select("th", "n", F.explode("bands").alias("key")))
+    first = materialize(cells.groupBy("key").agg(F.min(F.struct("turn", "th", "n")).alias("p")).select("key", F.col("p.th").alias("p"), F.col("p.n").alias("p_n")))
+    pairs = (cells.join(first, "key").where(
+        (F.col("th") != F.col("p")) & (F.col("n") * 100 >= F.col("p_n") * percent) & (F.col("p_n") * 100 >= F.col("n") * percent))
+        .select(F.greatest("th", "p").alias("a"), F.least("th", "p").alias("b")).distinct())
+    links = verified(materialize(_agreement(pairs, classes)), texts, width, lower, percent)
+    component = materialize(components(links))
+    # buckets that still hold different components, without the member that has met all others there
+    rest = cells.select("key", "th").join(first.select("key", F.col("p").alias("th")), ["key", "th"], "left_anti")
+    left = _mixed(rest, component).select("th").distinct()
+    left = materialize(keep_likely(texts, ["th"], left).join(left, "th").dropDuplicates(["th"]))
+    # of these only texts whose rarest shingles meet can be alike; they form families
+    rest = _mixed(_prefixes(left, width, lower, percent).select("key", "th"), component)
+    star = rest.join(materialize(rest.groupBy("key").agg(F.min("th").alias("b"))), "key").select(F.col("th").alias("a"), "b")
+    families = components(star).withColumnRenamed("node", "th").withColumnRenamed("component", "family")
+    families = materialize(families.join(rest.select("th", "component").distinct(), "th"))
+    more = _compared(families, left, width, lower, percent)
+    return components(more.unionByName(component.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, lower: bool = False,
@@ -190,12 +278,9 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     classes = materialize(full.join(leaders.select("th"), "th", "left_semi").dropDuplicates(["th"]).select("th", "n", "bands", "sketch"))
     texts = docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     linked = _linked(classes, texts, width, lower, percent)
-    if linked is None:
-        leaders = leaders.select(*key, F.col("th").alias("component"), F.col("least").alias("component_id"))
-    else:
-        leaders = leaders.join(linked, leaders["th"] == linked["node"], "left").withColumn("component", F.coalesce("component", "th"))
-        least = leaders.groupBy("component").agg(F.min("least").alias("component_id"))
-        leaders = leaders.join(least, "component").select(*key, "component", "component_id")
+    leaders = leaders.join(linked, leaders["th"] == linked["node"], "left").withColumn("component", F.coalesce("component", "th"))
+    least = leaders.groupBy("component").agg(F.min("least").alias("component_id"))
+    leaders = leaders.join(least, "component").select(*key, "component", "component_id")
     out = sig.select("id", "th", *key).join(materialize(leaders), key, "left")
     return out.select("id", "th", "n", "component", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
