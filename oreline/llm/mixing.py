@@ -33,7 +33,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, cap: float =
     """(source, source_size, place, target) from (source, size): ``share`` of all words, dealt by weight.
 
     A target above ``cap`` times its source stops there and the excess goes to the others by weight: sources are
-    ordered by cap / weight, and the level is the first one that does not exceed the next source's own. The table has
+    ordered by cap / weight, and the level is the greatest one that does not exceed the source's own. The table has
     one row for each source.
     """
     table = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -46,7 +46,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, cap: float =
     table = table.withColumn("reach", (F.sum("source_size").over(everything) * float(share) - (F.sum("limit").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("limit")))
                              / F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
     fits = F.when(F.col("reach") <= F.col("level"), F.col("reach"))
-    table = table.withColumn("water", F.min(fits).over(everything))
+    table = table.withColumn("water", F.max(fits).over(everything))
     target = F.least("limit", F.coalesce(F.col("water") * F.col("weight"), F.col("limit")))
     return table.select("source", "source_size", "place", target.alias("target"))
 

@@ -32,7 +32,7 @@ from .tables import components, keep_likely
 BANDS, ROWS = 36, 5
 SLOTS = BANDS * ROWS
 SLACK = 0.6
-COUNTERS = 1 << 20
+COUNTERS = 1 << 16
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 200_000
 _STEP = np.uint64(40)
 
@@ -177,7 +177,7 @@ def _prefixes(texts: DataFrame, width: int, lower: bool, percent: int) -> DataFr
             total = np.zeros(COUNTERS, np.int64)
             for _, part in blocks(strings(batch.column(1))):
                 found, _ = set_shingles(part, width, lower)
-                total += np.bincount((found >> np.uint64(44)).astype(np.int64), minlength=COUNTERS)
+                total += np.bincount((found >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "times"])
     counted = texts.select("th", "text").mapInArrow(count, "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times")).toPandas()
@@ -190,7 +190,7 @@ def _prefixes(texts: DataFrame, width: int, lower: bool, percent: int) -> DataFr
             for row, part in blocks(strings(batch.column(1))):
                 found, begin = set_shingles(part, width, lower)
                 keys, owners, sizes = [], [], []
-                times = often[(found >> np.uint64(44)).astype(np.int64)]
+                times = often[(found >> np.uint64(48)).astype(np.int64)]
                 for i, th in enumerate(batch.column(0).slice(row, len(part)).to_pylist()):
                     own, seen = found[begin[i]:begin[i + 1]], times[begin[i]:begin[i + 1]]
                     n = len(own)

@@ -34,7 +34,7 @@ c AS (SELECT *, CASE (place - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 EN
 d AS (SELECT *, lim / weight AS level, (sum(source_size) OVER ())::DOUBLE AS total,
              (sum(lim) OVER (ORDER BY lim / weight, place)) - lim AS before, sum(weight) OVER (ORDER BY lim / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM c),
 e AS (SELECT *, (total - before) / rest AS reach FROM d),
-f AS (SELECT *, min(CASE WHEN reach <= level THEN reach END) OVER () AS water FROM e),
+f AS (SELECT *, max(CASE WHEN reach <= level THEN reach END) OVER () AS water FROM e),
 t AS (SELECT source, source_size, place, total, least(lim, coalesce(water * weight, lim)) AS target FROM f),
 r AS (SELECT s.*, t.source_size, t.place, t.total, t.target, row_number() OVER w AS nth,
              sum(size) OVER (PARTITION BY place ORDER BY hash, doc_id ROWS UNBOUNDED PRECEDING) AS upto
@@ -52,14 +52,14 @@ def weighted_fair_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 _QUALITY_SQL = r"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
-                  list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
 g AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS run FROM w, unnest(range(1, len(ws) - 6)) AS u(i)),
 d AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1),
 c AS (SELECT doc_id, count(DISTINCT p) AS covered FROM d, unnest(range(i, i + 8)) AS u(p) GROUP BY doc_id),
 m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
              coalesce(covered, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines,
-             len(list_filter(ws, x -> list_contains([{stop}], lower(x)))) AS n_stop, length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) AS n_upper
+             len(list_filter(ws, lambda x: list_contains([{stop}], lower(x)))) AS n_stop, length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) AS n_upper
       FROM w LEFT JOIN c ON w.doc_id = c.doc_id),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
              CASE WHEN coalesce(word_chars / nullif(n_words, 0)::DOUBLE, 0) NOT BETWEEN 2 AND 14 THEN 'word length'
