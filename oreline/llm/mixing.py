@@ -79,11 +79,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     slots = copies.groupBy("slot").agg(F.sum("size").alias("in_slot"))             # cap * RANGES + 1 rows at most
     upto = F.sum("in_slot").over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0))
-    budget = table.agg((F.coalesce(F.sum("source_size"), F.lit(0)) * float(share)).alias("budget"))
-    slots = slots.withColumn("slot_upto", upto).join(budget).select("slot", (F.col("slot_upto") - F.col("in_slot")).alias("slot_before"), "budget")
+    budget = (table.agg(F.sum("source_size")).first()[0] or 0) * float(share)
+    slots = slots.withColumn("slot_upto", upto).select("slot", (F.col("slot_upto") - F.col("in_slot")).alias("slot_before"))
     queue = Window.partitionBy("slot").orderBy("finish", "place", "range", "nth", "copy").rowsBetween(Window.unboundedPreceding, 0)
     served = copies.withColumn("run", F.sum("size").over(queue)).join(F.broadcast(slots), "slot")
-    taken = (F.col("slot_before") + F.col("run") <= F.col("budget")) & (F.col("size") > 0)
+    taken = (F.col("slot_before") + F.col("run") <= F.lit(budget)) & (F.col("size") > 0)
     return (served.groupBy("place", "range", "nth").agg(
         *[F.first(c).alias(c) for c in ("id", "row_hash", "size", "source", "source_size", "target")],
         F.sum(taken.cast("long")).alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
