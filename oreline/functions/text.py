@@ -24,6 +24,12 @@ def java_replacement(text: str) -> str:
     return re.sub(r"\\(\d+)", r"$\1", out)
 
 
+def java_pattern(pattern: str) -> str:
+    r"""Turn a Python pattern into a Java one: named groups, and ``\w``, ``\d``, ``\s``, ``\b`` of all languages."""
+    out = re.sub(r"\(\?P<(\w+)>", r"(?<\1>", pattern)
+    return "(?U)" + re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", out)
+
+
 def to_number(c: Column) -> Column:
     """Strict text-to-double: plain decimal notation or NULL."""
     return F.when(c.rlike(_NUMBER), F.trim(c)).try_cast("double")
@@ -42,7 +48,7 @@ def parse_price(c: Column) -> Column:
 def substitute(c: Column, substitutions) -> Column:
     """Ordered regular-expression replacements (Python replacement syntax)."""
     for pattern, replacement in substitutions:
-        c = F.regexp_replace(c, pattern, java_replacement(replacement))
+        c = F.regexp_replace(c, java_pattern(pattern), java_replacement(replacement))
     return c
 
 
@@ -61,7 +67,7 @@ def clean_prices(df: DataFrame, columns, substitutions=None) -> DataFrame:
 
 def matching(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """Keep rows whose non-empty text contains the pattern."""
-    return df.where((F.col(column) != "") & F.col(column).rlike(pattern))
+    return df.where((F.col(column) != "") & F.col(column).rlike(java_pattern(pattern)))
 
 
 def extract_groups(df: DataFrame, column: str, patterns: dict[str, str],
@@ -69,10 +75,10 @@ def extract_groups(df: DataFrame, column: str, patterns: dict[str, str],
     """One column per pattern (its first group); only rows on which all patterns hit."""
     hit = F.col(column) != ""
     for pattern in patterns.values():
-        hit = hit & F.col(column).rlike(pattern)
+        hit = hit & F.col(column).rlike(java_pattern(pattern))
     found = {}
     for name, pattern in patterns.items():
-        group = F.regexp_extract(F.col(column), pattern, 1)
+        group = F.regexp_extract(F.col(column), java_pattern(pattern), 1)
         found[name] = F.regexp_replace(group, r"(?U)^\s+|\s+$", "") if strip else group
     return df.where(hit).withColumns(found)
 

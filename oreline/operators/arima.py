@@ -208,7 +208,7 @@ def fit_grid(series: DataFrame, orders: list[Order], placed: DataFrame | None =
 def best_order(fits: DataFrame) -> DataFrame:
     """The fit with the least AIC of each series (first order of the grid on ties)."""
     whole = F.struct("p", "d", "q", "coef", "rows", "sse", "aic")
-    return (fits.groupBy("series_id").agg(F.min_by(whole, F.struct(F.round("aic", 9), "p", "d", "q")).alias("_f"))
+    return (fits.groupBy("series_id").agg(F.min_by(whole, F.struct("aic", "p", "d", "q")).alias("_f"))
             .select("series_id", "_f.*"))
 
 
@@ -303,12 +303,12 @@ def difference_order(series: DataFrame, max_d: int = 2, max_lag: int | None = No
     """Smallest d whose lag-d difference rejects a unit root at 5 %, else 1: (series_id, d).
 
     The augmented regression of each d is one moment table; its lag length is chosen by AIC
-    from sub-matrices.
+    from sub-matrices. Without ``max_lag`` every series has the bound 12 (n / 100)^(1/4) of its own length n.
     """
     placed = materialize(positions(series))
+    bound = F.lit(max_lag) if max_lag is not None else F.ceil(12 * F.pow(F.col("n") / 100, F.lit(0.25)))
     if max_lag is None:
-        longest = placed.agg(F.max("n")).first()[0] or 1
-        max_lag = min(12, math.ceil(12 * (longest / 100) ** 0.25))
+        max_lag = placed.agg(F.max(bound)).first()[0] or 1       # the widest frame that a series needs
     tests = None
     for d in range(max_d + 1):
         lags = {f"_y{k}": ("value", k) for k in range(1, d + max_lag + 2)}
@@ -318,14 +318,17 @@ def difference_order(series: DataFrame, max_d: int = 2, max_lag: int | None = No
             now = F.col(f"_y{k}") if k else F.col("value")
             return now - F.col(f"_y{k + d}") if d else now
 
-        z = [F.lit(1.0), x(1)] + [x(i) - x(i + 1) for i in range(1, max_lag + 1)] + [x(0) - x(1)]
+        # lags beyond a series' own bound are 0 and not used, so they cost it no rows
+        z = ([F.lit(1.0), x(1)] + [F.when(F.lit(i) <= bound, x(i) - x(i + 1)).otherwise(0.0) for i in range(1, max_lag + 1)]
+             + [bound.cast("double"), x(0) - x(1)])
         size = len(z)
 
         def pick(row, full, d=d, size=size):
-            if row.rows + max_lag + 1 < 10:
+            most = int(round(full[0, size - 2] / row.rows))
+            if row.rows + most + 1 < 10:
                 return
             best = None
-            for lag in range(max_lag + 1):
+            for lag in range(most + 1):
                 cols = list(range(2 + lag))
                 free = row.rows - len(cols)
                 if free < 2:

@@ -101,8 +101,11 @@ class AdaBoostModel:
 
 
 def _depth(params, default=None):
+    """The wanted depth; None means as deep as the tree learners go, which is ``MAX_DEPTH``."""
     depth = params.get("max_depth", default)
-    return MAX_DEPTH if depth is None else min(int(depth), MAX_DEPTH)
+    if depth is not None and int(depth) > MAX_DEPTH:
+        raise ValueError(f"max_depth {depth} is beyond the tree learners' limit of {MAX_DEPTH}")
+    return MAX_DEPTH if depth is None else int(depth)
 
 
 def _leaf(params):

@@ -137,9 +137,10 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, same_rows: bool = Fal
 def vote(neighbours: DataFrame, labels: DataFrame) -> DataFrame:
     """Most common label among the neighbours of each query, ties to the smallest: (qid, prediction).
 
-    ``labels`` is (pid, label) with numeric labels.
+    ``labels`` is (pid, label) with numeric labels. A row that was copied keeps its id and label: each copy among
+    the neighbours has one vote.
     """
-    named = neighbours.join(labels, "pid")
+    named = neighbours.join(labels.select("pid", "label").dropDuplicates(["pid"]), "pid")
     counts = named.groupBy("qid", "label").agg(F.count(F.lit(1)).alias("_n"))
     return counts.groupBy("qid").agg(F.max_by("label", F.struct("_n", -F.col("label"))).alias("prediction"))
 

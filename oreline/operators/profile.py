@@ -51,7 +51,7 @@ def overview(df: DataFrame) -> DataFrame:
 def correlation(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pairwise complete Pearson coefficients as (var1, var2, corr), one aggregate for all pairs."""
     columns = columns or numeric_names(df)
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = df.select(*[present(c).alias(c) for c in columns])
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     wide = values.agg(*[pearson(F.col(a), F.col(b)).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
     cells = []
@@ -72,13 +72,12 @@ def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
 def class_shares(df: DataFrame, column: str) -> DataFrame:
     """Count and share of every class."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(column, "n", share_of_total("n").alias("share"))
+    return counts.select(column, "n", share_of_total(counts, "n").alias("share"))
 
 
-def share_of_total(column: str):
-    """Share of a small per-group count table in its total."""
-    from pyspark.sql import Window as W
-    return F.col(column) / F.sum(column).over(W.partitionBy(F.lit(0)))
+def share_of_total(counts: DataFrame, column: str):
+    """Share of each row of a count table in the total, which is a one-row aggregate."""
+    return F.col(column) / counts.agg(F.sum(column)).scalar()
 
 
 def pivot_count(df: DataFrame, rows: str, columns: str, values: list) -> DataFrame:
@@ -91,8 +90,7 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
 
     The range is one aggregate; rows are folded to at most ``bins`` counts per column map-side.
     """
-    x = [F.col(c).cast("double").alias(c) for c in columns]
-    values = df.select(*x)
+    values = df.select(*[present(c).alias(c) for c in columns])
     ends = values.agg(F.least(*[F.min(c) for c in columns], F.lit(None)).alias("lo"),
                       F.greatest(*[F.max(c) for c in columns], F.lit(None)).alias("hi")).first()
     if ends["lo"] is None:
@@ -115,7 +113,7 @@ def boxplot(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     parts = ["lo", "p25", "p50", "p75", "hi", "outliers"]
     aggs = []
     for c in columns:
-        x = F.col(c).cast("double")
+        x = present(c)
         q1, q2, q3 = limits[c]
         inside = _inside_whiskers(x, q1, q3)
         aggs.append(F.struct(
@@ -138,7 +136,7 @@ def outliers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     keep = F.lit(False)
     for c in columns:
         keep = keep | ((F.col("column") == c) & ~_inside_whiskers(F.col("value"), *limits[c]))
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+    long = df.select(*[present(c).alias(c) for c in columns]).unpivot([], columns, "column", "value")
     return long.where(keep)
 
 
@@ -149,7 +147,7 @@ def density(df: DataFrame, column: str, points: int = 200, resolution: int = 409
     kernel sum runs over at most points * resolution pairs whatever the number of rows.
     With ``resolution=0`` distinct values are used as they are, which is the exact curve.
     """
-    x = F.col(column).cast("double")
+    x = present(column)
     stats = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("s"), F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     schema = "x double, density double"
     if not stats["n"] or not stats["s"]:

@@ -51,24 +51,32 @@ def hash_order(df: DataFrame, row_id: str, seed: int = 42, strata: list[str] | N
     return number_rows(h, list(strata or []), cell, ["_h", row_id], out, total).drop("_h")
 
 
+def even_cells(df: DataFrame, value: Column, cells: int) -> Column:
+    """Number of the cell of ``value`` when ``df`` is cut into cells of about equal row counts.
+
+    The cut points are approximate quantiles (one mergeable sketch), so one far value does not put all other rows into
+    one cell; the number is found by a binary search in the plan.
+    """
+    cells = max(1, min(cells, 256))
+    cuts = df.agg(F.percentile_approx(value, [i / cells for i in range(1, cells)] or [0.5], 20 * cells)).first()[0] or []
+    cuts = sorted(set(cuts))
+
+    def search(lo, hi):
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value < F.lit(float(cuts[mid])), search(lo, mid)).otherwise(search(mid + 1, hi))
+    return search(0, len(cuts))
+
+
 def time_order(df: DataFrame, keys: list[str], ts: str, tie: list[str] | None = None,
-               out: str = "pos", total: str | None = "n", span: tuple | None = None) -> DataFrame:
+               out: str = "pos", total: str | None = "n") -> DataFrame:
     """Chronological position of each row inside its series.
 
-    Series are cut into equal time slices. The slice width comes from the overall time span,
-    one two-value aggregate (or ``span`` in seconds when the caller knows it).
+    Series are cut into slices of time that hold about equal numbers of rows.
     """
-    spark = df.sparkSession
     seconds = epoch_seconds(F.col(ts)) if dict(df.dtypes)[ts] not in _NUMERIC else F.col(ts).cast("double")
-    if span is None:
-        lo, hi = df.agg(F.min(seconds), F.max(seconds)).first()
-    else:
-        lo, hi = span
-    if lo is None:
-        lo, hi = 0.0, 0.0
-    slices = 4 * shuffle_width(spark)
-    width = max((hi - lo) / slices, 1e-6)
-    cell = F.least(F.floor((seconds - F.lit(float(lo))) / F.lit(float(width))), F.lit(slices))
+    cell = even_cells(df, seconds, 4 * shuffle_width(df.sparkSession))
     return number_rows(df, keys, cell, [ts, *(tie or [])], out, total)
 
 

@@ -8,7 +8,7 @@ from ..functions.dates import advance, epoch_seconds, frequency_of
 from ..functions.numbers import pearson
 from ..session import shuffle_width
 from .quantiles import grouped_quantiles
-from .ranking import lagged, time_order
+from .ranking import even_cells, lagged, time_order
 
 KEY = ["series_id"]
 
@@ -24,10 +24,8 @@ def fill_missing(series: DataFrame) -> DataFrame:
     Inside a slice of time by window; across slices from the last (first) known value of the
     neighbouring slices, a table with one row per series and slice.
     """
-    seconds = epoch_seconds(F.col("ts"))
-    lo, hi = series.agg(F.min(seconds), F.max(seconds)).first()
-    width = max(((hi or 0.0) - (lo or 0.0)) / (4 * shuffle_width(series.sparkSession)), 1e-6)
-    cut = series.withColumn("_cell", F.floor((seconds - F.lit(lo or 0.0)) / width))
+    cell = even_cells(series, epoch_seconds(F.col("ts")), 4 * shuffle_width(series.sparkSession))
+    cut = series.withColumn("_cell", cell)
     inside = W.partitionBy(*KEY, "_cell").orderBy("ts")
     local = cut.withColumns({
         "_f": F.last("value", True).over(inside.rowsBetween(W.unboundedPreceding, 0)),

@@ -193,7 +193,8 @@ def smooth_forecast(series: DataFrame, steps: int, alpha: float, beta: float | N
     centers = placed.select("series_id").distinct().withColumns({
         "ca": F.lit(float(alpha)), "cb": F.lit(float(beta or 0.0)), "cg": F.lit(float(gamma or 0.0))})
     fitted = _smooth(placed, centers, [0.0], beta is not None, m, 1)
-    ahead = horizon(fitted.join(_lengths(placed, series, freq), "series_id"), steps)
+    # a series that is too short for the model keeps its rows, with NULL forecasts
+    ahead = horizon(_lengths(placed, series, freq).join(fitted, "series_id", "left"), steps)
     return _project(ahead, m).select("series_id", F.lit(model).alias("model"), "step", "ts", "yhat")
 
 
@@ -227,7 +228,7 @@ def fit_forecast(series: DataFrame, steps: int, trend: bool = True, m: int | Non
     m = season_length(m, freq)
     placed = positions(series)
     best = fit_parameters(series, trend, m)
-    ahead = horizon(best.join(_lengths(placed, series, freq), "series_id"), steps)
+    ahead = horizon(_lengths(placed, series, freq).join(best, "series_id", "left"), steps)
     return _project(ahead, m).select("series_id", F.lit(model).alias("model"), "step", "ts", "yhat")
 
 
@@ -245,7 +246,7 @@ def calibrate(train: DataFrame, test: DataFrame, step: float = 0.1, trend: bool
     ahead = fitted.join(width, "series_id").withColumn("step", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_h"))))
     numbered = positions(test).select("series_id", F.col("pos").alias("step"), F.col("value").alias("_y"))
     scored = _project(ahead, m).join(numbered, ["series_id", "step"])
-    per = scored.groupBy("series_id", "g").agg(F.round(F.avg(F.pow(F.col("yhat") - F.col("_y"), 2)), 6).alias("mse"))
+    per = scored.groupBy("series_id", "g").agg(F.avg(F.pow(F.col("yhat") - F.col("_y"), 2)).alias("mse"))
     best = per.groupBy("series_id").agg(F.min_by("g", F.struct("mse", "g")).alias("g"), F.min("mse").alias("mse"))
     return fitted.join(best, ["series_id", "g"]).select(
         "series_id", "alpha", "beta", "gamma", "mse", "state", "n", "last_ts", "freq")

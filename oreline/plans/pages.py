@@ -160,9 +160,10 @@ def page_totals(spark, sf):
     return H.page_total(shop(spark, sf), "//a[contains(@class,'pg')]")
 
 
-@query("web12_absolute_links", "SELECT page_id, 'https://shop.example.org' || href AS url FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"(/[^\"]*)\"', 1)) AS href FROM pages)")
+@query("web12_absolute_links", "SELECT page_id, CASE WHEN href[1] = '/' THEN 'https://shop.example.org' ELSE '' END || href AS url FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS href FROM pages)")
 def absolute_links(spark, sf):
-    return H.links(stored(spark, sf)).where(F.col("href").startswith("/")).select("page_id", F.concat(F.lit("https://shop.example.org"), "href").alias("url"))
+    base = F.when(F.col("href").startswith("/"), F.lit("https://shop.example.org")).otherwise("")
+    return H.links(stored(spark, sf)).select("page_id", F.concat(base, "href").alias("url"))
 
 
 def _count_tags(page_id, url, html):

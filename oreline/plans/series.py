@@ -121,7 +121,7 @@ def train_test_split(spark, sf):
 
 
 @query("win7_expanding_history",
-       f"WITH {_S} SELECT series_id, ts, pos - 1 AS n_history, round(avg(value) OVER (PARTITION BY series_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 4) AS mean_history FROM p QUALIFY pos > n - 6")
+       f"WITH {_S} SELECT series_id, ts, pos - 1 AS n_history, round(avg(value) OVER (PARTITION BY series_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 4) AS mean_history FROM p")
 def expanding_history(spark, sf):
     """Walk-forward means from running sums: chunk totals plus a window inside the chunk."""
     placed = S.positions(daily_events(spark, sf)).withColumn("_chunk", F.floor((F.col("pos") - 1) / 1000000))
@@ -131,8 +131,8 @@ def expanding_history(spark, sf):
     along = W.partitionBy("series_id").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     carry = chunks.select("series_id", "_chunk", F.coalesce(F.sum("_v").over(along), F.lit(0.0)).alias("_carry"))
     run = placed.withColumn("_run", F.coalesce(F.sum("value").over(inside), F.lit(0.0))).join(carry, ["series_id", "_chunk"])
-    return run.where("pos > n - 6").select("series_id", "ts", (F.col("pos") - 1).alias("n_history"),
-                                           F.round((F.col("_run") + F.col("_carry")) / (F.col("pos") - 1), 4).alias("mean_history"))
+    return run.select("series_id", "ts", (F.col("pos") - 1).alias("n_history"),
+                      F.round(F.try_divide(F.col("_run") + F.col("_carry"), F.col("pos") - 1), 4).alias("mean_history"))
 
 
 _DAYGAP = ("g AS (SELECT series_id, datediff('day', lag(ts) OVER (PARTITION BY series_id ORDER BY ts), ts) AS gap FROM p), "
@@ -241,14 +241,14 @@ _HW_GRID = (
     "hw AS (SELECT series_id, a, b, g, 7 :: BIGINT AS pos, l, t, list_transform(y, lambda v: v - l) AS s, n FROM init, grid UNION ALL "
     "SELECT series_id, a, b, g, pos, l2, b * (l2 - l) + (1 - b) * t, list_concat(s[2:7], [g * (value - l - t) + (1 - g) * s[1]]), n FROM ("
     "SELECT h.*, p.pos AS pos_1, p.value, h.a * (p.value - h.s[1]) + (1 - h.a) * (h.l + h.t) AS l2 FROM hw h JOIN train p ON p.series_id = h.series_id AND p.pos = h.pos + 1) x(series_id, a, b, g, pos_0, l, t, s, n, pos, value, l2)), "
-    "scored AS (SELECT hw.series_id, a, b, g, round(avg((l + step * t + s[(step - 1) % 7 + 1] - test.value) ** 2), 6) AS mse FROM hw JOIN test ON test.series_id = hw.series_id WHERE hw.pos = n GROUP BY 1, 2, 3, 4) "
-    "SELECT series_id, a :: DOUBLE AS alpha, b :: DOUBLE AS beta, g :: DOUBLE AS gamma, mse FROM scored QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY mse, a, b, g) = 1")
+    "scored AS (SELECT hw.series_id, a, b, g, avg((l + step * t + s[(step - 1) % 7 + 1] - test.value) ** 2) AS mse FROM hw JOIN test ON test.series_id = hw.series_id WHERE hw.pos = n GROUP BY 1, 2, 3, 4) "
+    "SELECT series_id, a :: DOUBLE AS alpha, b :: DOUBLE AS beta, g :: DOUBLE AS gamma, round(mse, 4) AS mse FROM scored QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY mse, a, b, g) = 1")
 
 
 @query("ts8_holt_winters_calibrated", _HW_GRID)
 def holt_winters_calibrated(spark, sf):
     train, test = train_test(daily_events(spark, sf))
-    return H.calibrate(train, test, 0.25).select("series_id", "alpha", "beta", "gamma", "mse")
+    return H.calibrate(train, test, 0.25).select("series_id", "alpha", "beta", "gamma", F.round("mse", 4).alias("mse"))
 
 
 @query("ts9_difference_order")

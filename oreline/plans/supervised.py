@@ -182,9 +182,9 @@ def smote(spark, sf):
     return rounded(R.smote(documents(spark, sf), "row_id", "label", DOC_FEATURES), 4)
 
 
-@query("bal3_smote_class_sizes", f"WITH {_L}, c AS (SELECT label, count(*) AS n FROM y GROUP BY 1) SELECT label, (SELECT max(n) FROM c) AS n FROM c WHERE n > 1")
+@query("bal3_smote_class_sizes", f"WITH {_L}, c AS (SELECT label, count(*) AS n FROM y GROUP BY 1) SELECT label, CASE WHEN n > 1 THEN (SELECT max(n) FROM c) ELSE n END AS n FROM c")
 def smote_sizes(spark, sf):
-    return R.smote(documents(spark, sf), "row_id", "label", DOC_FEATURES).groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return R.smote(documents(spark, sf), "row_id", "label", DOC_FEATURES).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("bal4_class_weights", f"WITH {_L}, {_STRATA} SELECT row_id, label, round((SELECT count(*) FROM y) / ((SELECT count(DISTINCT label) FROM y) * n), 6) AS weight FROM p")

@@ -106,12 +106,12 @@ def one_hot(spark, sf):
     return E.one_hot(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus"))
 
 
-@query("prj3_restored_table", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+@query("prj3_restored_table", "SELECT s_suppkey, s_name, s_acctbal, 0.0 :: DOUBLE AS edited FROM supplier")
 def restored_table(spark, sf):
     original = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    # tables are immutable: after an edit the first handle still reads the source
     edited = original.withColumn("s_acctbal", F.lit(0.0))
-    edited.schema       # tables are immutable: the first handle still reads the source
-    return original
+    return original.join(edited.select("s_suppkey", F.col("s_acctbal").alias("edited")), "s_suppkey")
 
 
 @query("prj4_drop_target", "SELECT l_quantity, l_extendedprice, l_discount FROM lineitem")

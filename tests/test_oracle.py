@@ -1,17 +1,10 @@
-"""Queries against their SQL form on the smallest tables.
-
-By default the first two queries of each family; ORELINE_ALL=1 runs them all, as
-``check_oracle.py`` does on larger tables.
-"""
-
-import os
-import re
-from itertools import groupby
+"""Every query against its SQL form on the smallest tables, as ``check_oracle.py`` does on larger ones."""
 
 import pytest
 
 from check_oracle import compare, connect
 from __spark_entry__ import entry, oracle_sql, queries
+from oreline.plans import load_all
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,14 +14,7 @@ def con():
     return connect(SF)
 
 
-def chosen():
-    names = sorted(oracle_sql())
-    if os.environ.get("ORELINE_ALL"):
-        return names
-    return [n for _, family in groupby(names, key=lambda n: re.match("[a-z]+", n)[0]) for n in list(family)[:2]]
-
-
-@pytest.mark.parametrize("name", chosen())
+@pytest.mark.parametrize("name", sorted(n for n in oracle_sql() if n in load_all().ORACLES))
 def test_query_equals_sql(spark, con, name):
     ok, message = compare(spark, con, SF, queries()[name], oracle_sql()[name])
     assert ok, message
