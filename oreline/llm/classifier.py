@@ -90,7 +90,7 @@ class Network:
         join = self.p["join"]
         down = error[text] * join[0] / np.diff(first)[text]
         for k, edge in ((1, parts[:, 1]), (2, parts[:, 2])):
-            hit = value == edge[text].astype(np.float32)
+            hit = value.astype(np.float64) == edge[text]
             share = np.bincount(text, hit, len(labels))
             down = down + hit * error[text] * join[k] / np.maximum(share, 1)[text]
         down = down.astype(np.float32)
