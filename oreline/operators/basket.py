@@ -256,6 +256,9 @@ def basket_summary(trans: DataFrame, itemsets: DataFrame | None = None,
     return out
 
 
+MOST_DRAWS = 32          # draws per wanted item after which a group is completed by exponential keys
+
+
 def cumulative_weights(items: DataFrame, item: str, weight: str) -> DataFrame:
     """Half-open share intervals ``(item, lo, hi)`` that tile [0, 1) in item order."""
     cells = 4 * shuffle_width(items.sparkSession)
@@ -281,7 +284,9 @@ def weighted_sample(groups: DataFrame, group: str, size: str, items: DataFrame,
     draws without replacement. Draw j of a group is a hash of (group, j, seed) looked up in
     the cumulative weights by an equi-join on equal slots of the unit interval,
     so neither the item list nor a group has to fit in one task. Groups that saw too many
-    repeats get more draws until all are complete.
+    repeats get more draws; a group that is still short (a few items hold nearly all weight) keeps
+    what it has drawn and takes the rest in order of exponential keys -ln(u) / weight over the items
+    it lacks, which is the same law and always ends.
     """
     n_items = items.where(F.col(weight) > 0).count()
     slots = max(1, n_items)
@@ -304,7 +309,21 @@ def weighted_sample(groups: DataFrame, group: str, size: str, items: DataFrame,
         whole = picked.where(F.size("_i") >= F.col("_k")).select(
             group, F.posexplode(F.slice("_i", F.lit(1), F.col("_k"))).alias("pick", "item")).withColumn("pick", F.col("pick") + 1)
         done = whole if done is None else done.unionByName(whole)
-        short = picked.where(F.size("_i") < F.col("_k")).select(group, "_k")
+        short = picked.where(F.size("_i") < F.col("_k"))
         if short.isEmpty():
             return done
-        todo, factor = short, factor * 4
+        if factor > MOST_DRAWS:
+            return done.unionByName(_completed(short, group, filed, slots, seed))
+        todo, factor = short.select(group, "_k"), factor * 4
+
+
+def _completed(short: DataFrame, group: str, filed: DataFrame, slots: int, seed: int) -> DataFrame:
+    """The drawn items of short groups, then the others by exponential keys."""
+    home = filed.where(F.col("_slot") == F.least(F.floor(F.col("lo") * slots), F.lit(slots - 1)))
+    lacking = (short.withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint"))))
+               .join(home, "_slot").where(~F.array_contains("_i", F.col("item"))))
+    share = F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-300))
+    turn = F.row_number().over(W.partitionBy(group).orderBy(-F.log(uniform(F.col(group), F.col("item"), seed, "rest")) / share, "item"))
+    rest = lacking.withColumn("_t", turn).where(F.col("_t") <= F.col("_k") - F.size("_i"))
+    drawn = short.select(group, F.posexplode("_i").alias("pick", "item")).withColumn("pick", F.col("pick") + 1)
+    return drawn.unionByName(rest.select(group, (F.size("_i") + F.col("_t")).alias("pick"), "item"))

@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from oreline.functions import text as T
-from oreline.operators import arima, neighbors, profile, series, smoothing
+from oreline.operators import arima, basket, neighbors, profile, series, smoothing
 from oreline.operators.ranking import even_cells
 
 
@@ -80,3 +80,14 @@ def test_fill_with_one_far_date(spark):
         last = v if v is not None else last
         wanted.append(last)
     assert [r.value for r in got] == wanted
+
+
+def test_extreme_weights_end(spark):
+    items = spark.createDataFrame([("a", 1e12), ("b", 1.0), ("c", 1.0)], "item string, w double")
+    groups = spark.range(40).select("id", F.lit(3).alias("k"))
+    rows = basket.weighted_sample(groups, "id", "k", items, "item", "w").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["id"], {})[r["pick"]] = r["item"]
+    assert len(by) == 40 and all(set(v) == {1, 2, 3} and set(v.values()) == {"a", "b", "c"} and v[1] == "a" for v in by.values())
+    assert {v[2] for v in by.values()} == {"b", "c"}
