@@ -133,7 +133,24 @@ def kmeans(spark, sf):
 
 @query("uns4_kmedoids")
 def kmedoids(spark, sf):
-    rows, _, _ = C.kmedoids(C.standardized(vectors(spark, sf)), 3, 2, 2)
+    rows, _, _ = C.kmedoids(C.standardized(vectors(spark, sf)), 3)
+    return rounded(rows.select("row_id", "cluster", "distance"))
+
+def _l1(x, y):
+    return f"list_sum(list_transform(list_zip({x}, {y}), lambda t: abs(t[1] - t[2])))"
+
+
+_MEDOIDS = (f"WITH {_E}, m0 AS (SELECT e.row_id, any_value(e.x) AS x, min_by(c0.c, {_l1('e.x', 'c0.x')}) AS c FROM e, c0 GROUP BY 1), "
+            "u AS (SELECT c, i, quantile_disc(v, 0.5) AS v FROM (SELECT c, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM m0) GROUP BY 1, 2), "
+            "w AS (SELECT c, list(v ORDER BY i) AS x FROM u GROUP BY c), "
+            f"n1 AS (SELECT m0.c, arg_min(m0.x, {_l1('m0.x', 'w.x')}) AS x FROM m0 JOIN w ON m0.c = w.c GROUP BY 1) "
+            f"SELECT e.row_id, CAST(min_by(n1.c, {_l1('e.x', 'n1.x')}) AS INTEGER) AS cluster, round(min({_l1('e.x', 'n1.x')}), 6) AS distance FROM e, n1 GROUP BY 1")
+
+
+@query("uns4_kmedoids_fixed_start", _MEDOIDS)
+def kmedoids_fixed_start(spark, sf):
+    """One round from the vectors with the smallest ids."""
+    rows, _, _ = C.kmedoids_from(vectors(spark, sf), start_centres(spark, sf), 1)
     return rounded(rows.select("row_id", "cluster", "distance"))
 
 
