@@ -30,13 +30,13 @@ def n_words(text: Column) -> Column:
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, cap: float = 3) -> DataFrame:
-    """(source, source_size, place, target) from (source, size): ``share`` of all words, dealt by weight.
+    """(source, source_size, longest, place, target) from (source, size): ``share`` of all words, dealt by weight.
 
     A target above ``cap`` times its source stops there and the excess goes to the others by weight: sources are
     ordered by cap / weight, and the level is the greatest one that does not exceed the source's own. The table has
     one row for each source.
     """
-    table = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    table = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.max("size").alias("longest"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     table = table.withColumn("place", place)
     table = table.withColumn("weight", F.get(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(F.col("place") - 1, F.lit(len(weights)))))
@@ -48,7 +48,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, cap: float =
     fits = F.when(F.col("reach") <= F.col("level"), F.col("reach"))
     table = table.withColumn("water", F.max(fits).over(everything))
     target = F.least("limit", F.coalesce(F.col("water") * F.col("weight"), F.col("limit")))
-    return table.select("source", "source_size", "place", target.alias("target"))
+    return table.select("source", "source_size", "longest", "place", target.alias("target"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
@@ -74,12 +74,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     copies = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(cap - 1))))
     finish = F.when(F.col("target") > 0, (F.col("copy") * F.col("source_size") + F.col("upto")) / F.col("target")).otherwise(F.lit(0.0))
-    copies = copies.withColumn("finish", finish).withColumn("slot", F.least(F.floor(F.col("finish") * RANGES), F.lit(cap * RANGES)))
+    totals = table.agg(F.sum("source_size").alias("words"), F.sum("longest").alias("longest")).first()
+    budget = (totals["words"] or 0) * float(share)
+    # at this time every source has sent its target and its longest document more, so the budget is spent: 2 at most for a
+    # full share; later copies are never taken and are only spread over slots behind all others
+    over = 1 + (totals["longest"] or 0) / max(budget, 1.0)
+    behind = int(over * RANGES) + 1 + F.pmod(F.xxhash64("hash", "copy"), F.lit(RANGES))
+    copies = copies.withColumn("finish", finish).withColumn("slot", F.when(F.col("finish") <= over, F.floor(F.col("finish") * RANGES)).otherwise(behind))
     copies = materialize(copies.select("id", "row_hash", "size", "source", "source_size", "target", "place", "range", "nth", "copy", "finish", "slot"))
 
-    slots = copies.groupBy("slot").agg(F.sum("size").alias("in_slot"))             # cap * RANGES + 1 rows at most
+    slots = copies.groupBy("slot").agg(F.sum("size").alias("in_slot"))             # a few times RANGES rows
     upto = F.sum("in_slot").over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0))
-    budget = (table.agg(F.sum("source_size")).first()[0] or 0) * float(share)
     slots = slots.withColumn("slot_upto", upto).select("slot", (F.col("slot_upto") - F.col("in_slot")).alias("slot_before"))
     queue = Window.partitionBy("slot").orderBy("finish", "place", "range", "nth", "copy").rowsBetween(Window.unboundedPreceding, 0)
     served = copies.withColumn("run", F.sum("size").over(queue)).join(F.broadcast(slots), "slot")
