@@ -181,12 +181,14 @@ def recommend_all(rules: DataFrame, baskets: DataFrame, top_n: int = 5) -> DataF
     """Best rules for every basket (antecedent inside the basket, consequent not yet in it).
 
     Many baskets hold the same items, so rules are matched once per distinct basket. Each
-    rule is filed under the first item of its antecedent and meets only the baskets that hold
+    rule is filed under the rarest item of its antecedent and meets only the baskets that hold
     that item: an equi-join followed by the exact subset test.
     """
     kinds = baskets.select("items").distinct()
-    filed = rules.select("antecedents", "consequents", "confidence", "lift",
-                         F.col("antecedents")[0].alias("_anchor"))
+    common = kinds.select(F.explode("items").alias("_anchor")).groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n"))
+    own = ["antecedents", "consequents", "confidence", "lift"]
+    filed = (rules.select(*own, F.explode("antecedents").alias("_anchor")).join(common, "_anchor")
+             .groupBy(*own).agg(F.min_by("_anchor", F.struct("_n", "_anchor")).alias("_anchor")))
     hits = (kinds.select("items", F.explode("items").alias("_anchor"))
             .join(filed, "_anchor")
             .where(contains_all(F.col("items"), F.col("antecedents"))

@@ -65,11 +65,39 @@ def regression_errors(df: DataFrame, actual: str, predicted: str) -> DataFrame:
         (1 - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))).alias("R2"))
 
 
+def class_scores(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Plain means over the classes of both columns (0 where undefined), one row: macro precision, recall and F1, and the
+    balanced accuracy, which is the mean recall of the classes that occur."""
+    counts = label_counts(df, actual, predicted)
+    both = F.array(F.struct(F.col("actual").cast("double").alias("label"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("claimed")),
+                   F.struct(F.col("predicted").cast("double").alias("label"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("claimed")))
+    hit = F.when(F.col("actual").cast("double") == F.col("predicted").cast("double"), F.col("n")).otherwise(0)
+    per = (counts.withColumn("_hit", hit).select("_hit", F.posexplode(both).alias("_side", "_s")).groupBy("_s.label")
+           .agg(F.sum("_s.support").alias("support"), F.sum("_s.claimed").alias("claimed"), F.sum(F.when(F.col("_side") == 0, F.col("_hit"))).alias("tp")))
+    p = F.coalesce(F.try_divide(F.col("tp"), F.col("claimed")), F.lit(0.0))
+    r = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
+    f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    return per.agg(F.avg(p).alias("precision_macro"), F.avg(r).alias("recall_macro"), F.avg(f1).alias("f1_macro"),
+                   F.avg(F.when(F.col("support") > 0, r)).alias("balanced_accuracy"))
+
+
+def relative_errors(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Explained variance, mean absolute percentage error (over rows with an actual value other than 0) and largest error."""
+    y, e = F.col(actual).cast("double"), F.col(actual).cast("double") - F.col(predicted).cast("double")
+    return df.agg((1 - F.try_divide(F.var_pop(e), F.var_pop(y))).alias("explained_variance"),
+                  F.avg(F.try_divide(F.abs(e), F.abs(y))).alias("MAPE"), F.max(F.abs(e)).alias("max_error"))
+
+
 # scorer name -> (aggregate table, column, sign); larger is better after the sign
 SCORERS = {
     "accuracy": (weighted_scores, "accuracy", 1), "precision_weighted": (weighted_scores, "precision_weighted", 1),
     "recall_weighted": (weighted_scores, "recall_weighted", 1), "f1_weighted": (weighted_scores, "f1_weighted", 1),
     "r2": (regression_errors, "R2", 1), "neg_mean_squared_error": (regression_errors, "MSE", -1),
+    "precision_macro": (class_scores, "precision_macro", 1), "recall_macro": (class_scores, "recall_macro", 1),
+    "f1_macro": (class_scores, "f1_macro", 1), "balanced_accuracy": (class_scores, "balanced_accuracy", 1),
+    "precision_micro": (weighted_scores, "accuracy", 1), "recall_micro": (weighted_scores, "accuracy", 1), "f1_micro": (weighted_scores, "accuracy", 1),
+    "explained_variance": (relative_errors, "explained_variance", 1), "max_error": (relative_errors, "max_error", -1),
+    "neg_mean_absolute_percentage_error": (relative_errors, "MAPE", -1),
     "neg_mean_absolute_error": (regression_errors, "MAE", -1), "neg_root_mean_squared_error": (regression_errors, "RMSE", -1),
 }
 

@@ -390,8 +390,8 @@ def table_cells(parsed: DataFrame, selector: str = "table", index: int = 0) -> D
 def map_pages(pages: DataFrame, fn, schema: str) -> DataFrame:
     """User function over pages: ``fn(page_id, url, html) -> iterable of tuples`` per page.
 
-    ``page_id`` leads every output row, so page order is kept. A failing page gives no rows;
-    ``failed_pages`` lists them.
+    ``page_id`` leads every output row, so page order is kept, and ``error`` ends it: NULL, or on a page where the
+    function raises one row with the message and no values. A user who only wants results filters on it.
     """
     columns = [p.strip().split()[0].split(":")[0] for p in schema.split(",")]
 
@@ -400,22 +400,10 @@ def map_pages(pages: DataFrame, fn, schema: str) -> DataFrame:
             out = []
             for page_id, url, html in pdf[["page_id", "url", "html"]].itertuples(index=False):
                 try:
-                    out.extend((page_id, *r) for r in fn(page_id, url, html))
-                except Exception:
-                    continue
-            yield pd.DataFrame(out, columns=["page_id", *columns])
-    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id bigint, {schema}")
-
-
-def failed_pages(pages: DataFrame, fn) -> DataFrame:
-    """Pages on which the user function raises, with the message."""
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for page_id, url, html in pdf[["page_id", "url", "html"]].itertuples(index=False):
-                try:
-                    list(fn(page_id, url, html))
+                    rows = [(page_id, *r, None) for r in fn(page_id, url, html)]
                 except Exception as e:
-                    out.append((page_id, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["page_id", "error"])
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id bigint, error string")
+                    rows = [(page_id, *[None] * len(columns), f"{type(e).__name__}: {e}")]
+                out.extend(rows)
+            # objects keep whole numbers whole beside the NULLs of failed pages
+            yield pd.DataFrame(out, columns=["page_id", *columns, "error"], dtype=object)
+    return pages.select("page_id", "url", "html").mapInPandas(run, f"page_id bigint, {schema}, error string")

@@ -172,14 +172,16 @@ def _count_tags(page_id, url, html):
     return [(len(re.findall("<p>", html)), len(html))]
 
 
-@query("udf1_page_callback", "SELECT page_id, CAST(len(regexp_extract_all(html, '<p>')) AS BIGINT) AS paragraphs, length(html) AS size FROM pages WHERE NOT contains(url, 'spam-farm')")
+@query("udf1_page_callback", "SELECT page_id, CASE WHEN NOT bad THEN CAST(len(regexp_extract_all(html, '<p>')) AS BIGINT) END AS paragraphs, CASE WHEN NOT bad THEN length(html) END AS size, "
+       "CASE WHEN bad THEN 'ValueError: blocked host' END AS error FROM (SELECT *, contains(url, 'spam-farm') AS bad FROM pages)")
 def page_callback(spark, sf):
     return H.map_pages(table(spark, sf, "pages"), _count_tags, "paragraphs bigint, size bigint")
 
 
 @query("udf1_failed_pages", "SELECT page_id, 'ValueError: blocked host' AS error FROM pages WHERE contains(url, 'spam-farm')")
 def failed_pages(spark, sf):
-    return H.failed_pages(table(spark, sf, "pages"), _count_tags)
+    done = H.map_pages(table(spark, sf, "pages"), _count_tags, "paragraphs bigint, size bigint")
+    return done.where("error IS NOT NULL").select("page_id", "error")
 
 
 @query("jn9_cursor_chain", "SELECT event_id // 1000 AS page_no, count(*) AS n FROM events GROUP BY 1")

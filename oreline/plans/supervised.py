@@ -89,6 +89,12 @@ def weighted_scores(spark, sf):
     return rounded(M.weighted_scores(guessed(spark, sf), "label", "prediction"))
 
 
+@query("agg13_macro_scores", _W + " SELECT round(avg(p), 6) AS precision_macro, round(avg(r), 6) AS recall_macro, round(avg(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END), 6) AS f1_macro, "
+       "round(avg(r) FILTER (sup > 0), 6) AS balanced_accuracy FROM q")
+def macro_scores(spark, sf):
+    return rounded(M.class_scores(guessed(spark, sf), "label", "prediction"))
+
+
 def _priced(spark, sf):
     return table(spark, sf, "orders").select(F.col("o_totalprice").alias("y"), (F.col("o_totalprice") * 0.9 + F.col("o_custkey") % 1000 * 20).alias("f"))
 
@@ -96,6 +102,12 @@ def _priced(spark, sf):
 _EF = "WITH e AS (SELECT o_totalprice AS y, o_totalprice * 0.9 + o_custkey % 1000 * 20 AS f FROM orders)"
 
 
+@query("agg14_relative_errors", _EF + ' SELECT round(1 - var_pop(y - f) / var_pop(y), 6) AS explained_variance, round(avg(abs(y - f) / abs(y)) FILTER (y <> 0), 6) AS "MAPE", round(max(abs(y - f)), 4) AS max_error FROM e')
+def relative_errors(spark, sf):
+    out = M.relative_errors(_priced(spark, sf), "y", "f")
+    return out.select(F.round("explained_variance", 6).alias("explained_variance"), F.round("MAPE", 6).alias("MAPE"), F.round("max_error", 4).alias("max_error"))
+
+
 @query("agg14_regression_errors", _EF + ' SELECT round(sqrt(avg((f - y) ** 2)), 4) AS "RMSE", round(avg(abs(f - y)), 4) AS "MAE", round(sum(abs(f - y)) / sum(abs(y)), 6) AS "ER" FROM e')
 def regression_errors(spark, sf):
     return M.regression_errors(_priced(spark, sf), "y", "f").select(F.round("RMSE", 4).alias("RMSE"), F.round("MAE", 4).alias("MAE"), F.round("ER", 6).alias("ER"))

@@ -22,7 +22,7 @@ def checked_series(df: DataFrame, series: str | None, ts: str, value: str) -> Da
     return out
 
 
-def read_series(spark: SparkSession, path: str, schema: str, date_col: str = "fecha",
+def read_series(spark: SparkSession, path: str, schema: str | None = None, date_col: str = "fecha",
                 value_col: str | None = None, series_col: str | None = None, **dialect) -> DataFrame:
     """A CSV of day-first dates; the value defaults to the first column that is not the date."""
     df = read_csv(spark, path, schema, **dialect)

@@ -91,3 +91,25 @@ def test_extreme_weights_end(spark):
         by.setdefault(r["id"], {})[r["pick"]] = r["item"]
     assert len(by) == 40 and all(set(v) == {1, 2, 3} and set(v.values()) == {"a", "b", "c"} and v[1] == "a" for v in by.values())
     assert {v[2] for v in by.values()} == {"b", "c"}
+
+
+def test_decimal_comma_without_a_schema(spark, tmp_path):
+    from oreline.sources import csv, series as files
+    (tmp_path / "a.csv").write_text("fecha;valor;texto;vacio\n01/02/2024;1,5;x;\n02/02/2024;-2;1,y;\n")
+    d = csv.read_csv(spark, str(tmp_path / "a.csv"), sep=";", decimal=",", index_col=1)
+    assert d.columns[0] == "valor" and [r.valor for r in d.orderBy("fecha").collect()] == [1.5, -2.0]
+    assert dict(d.dtypes)["texto"] == "string"
+    s = files.read_series(spark, str(tmp_path / "a.csv"), sep=";", decimal=",").orderBy("ts").collect()
+    assert [(r.ts.day, r.ts.month, r.value) for r in s] == [(1, 2, 1.5), (2, 2, -2.0)]
+
+
+def test_a_failing_page_leaves_its_error(spark):
+    from oreline.operators import pages
+    d = spark.createDataFrame([(1, "u", "<p>"), (2, "bad", "")], "page_id bigint, url string, html string")
+
+    def fn(page_id, url, html):
+        yield (len(html),)
+        if url == "bad":
+            raise ValueError("no")
+    got = {r.page_id: (r.n, r.error) for r in pages.map_pages(d, fn, "n bigint").collect()}
+    assert got == {1: (3, None), 2: (None, "ValueError: no")}
