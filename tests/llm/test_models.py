@@ -86,18 +86,17 @@ def test_classifier_on_held_out_rows(spark, edge, empty):
     assert classifier.fit([], []) == 0.5 and classifier.fit(["a"], [1]) == 1.0
 
 
-def test_pipeline(spark, documents):
-    kept, docs = {}, documents
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, SF).cache()
-        kept[name] = docs
-        assert docs.columns == documents.columns and docs.count() > 0
-    ids = [{r.doc_id for r in kept[name].select("doc_id").collect()} for name, _ in corpus_pipeline.STAGES[:-1]]
-    assert ids[1] < ids[0] and ids[2] == ids[1] and ids[3] <= ids[2]
+def test_pipeline(spark, documents, monkeypatch):
+    stored, store = [], corpus_pipeline.materialize
+    monkeypatch.setattr(corpus_pipeline, "materialize", lambda d: stored.append(store(d)) or stored[-1])
     done = corpus_pipeline.run(spark, SF).collect()
-    assert {r.doc_id for r in done} == ids[3]
-    texts = kept["source mix"].count()
-    assert sum(r.piece == 0 for r in done) == texts
+    assert len(stored) == 4 and all(d.columns == documents.columns for d in stored)
+    good, single, masked, mix = ([r.doc_id for r in d.select("doc_id").collect()] for d in stored)
+    assert 0 < len(single) < len(good) < documents.count() and sorted(masked) == sorted(single) and set(mix) <= set(masked)
+    assert sorted(r.doc_id for r in done if r.piece == 0) == sorted(mix)
+    wanted = [r.doc_id for r in queries.quality.judged(documents).where("kept").collect()]
+    assert sorted(good) == sorted(wanted)
+    assert all(r.n_chars == len(r.text) for r in stored[2].collect())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
