@@ -127,7 +127,7 @@ def kmeans_fixed_start(spark, sf):
 
 @query("uns3_kmeans")
 def kmeans(spark, sf):
-    rows, _, _ = C.kmeans(C.standardized(vectors(spark, sf)), 3, 100, 2)
+    rows, _, _ = C.kmeans(C.standardized(vectors(spark, sf)), 3)
     return rounded(rows.select("row_id", "cluster", "distance"))
 
 
