@@ -264,3 +264,23 @@ def test_compact_windows_are_a_partition():
             for j in range(i + least - 1, n):
                 holds = (start <= i) & (i <= root) & (root <= j) & (j <= end)
                 assert holds.sum() == 1 and values[root[holds]][0] == values[i:j + 1].min()
+
+
+def test_components(spark):
+    from oreline.llm.tables import components
+    rng = np.random.default_rng(2)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    wanted = {x: root(x) for x in {v for e in edges for v in e if e[0] != e[1]}}
+    for parts in (1, 7):
+        got = components(spark.createDataFrame(edges, "a long, b long").repartition(parts)).collect()
+        assert {r.node: r.component for r in got} == wanted and len(got) == len(wanted)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
