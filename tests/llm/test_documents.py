@@ -284,3 +284,9 @@ def test_components(spark):
         got = components(spark.createDataFrame(edges, "a long, b long").repartition(parts)).collect()
         assert {r.node: r.component for r in got} == wanted and len(got) == len(wanted)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_runs_with_two_shifts():
+    x = np.arange(100, dtype=np.uint32)
+    y = np.concatenate([x[50:], np.arange(1000, 2000, dtype=np.uint32), x[:50]]).astype(np.uint32)
+    assert sorted(passages.matched_runs(x, y, 46, 80)) == [(0, 49, 1050, 1099), (50, 99, 0, 49)]
