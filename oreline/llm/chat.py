@@ -58,14 +58,16 @@ def jump_tables(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     ids = messages.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
     state = materialize(messages.join(ids, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("there"), F.col("parent")).alias("to"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth")))
+    # only messages that have not reached their root go on, so a few long chains do not move the others again
+    done, active = state.where("to is null"), state.where("to is not null")
     jumps, rounds = [], messages.count().bit_length()
-    while state.where("to is not null").take(1) and len(jumps) <= rounds:
-        jumps.append(state.where("to is not null").select("tree", "node", "to"))
-        far = state.select("tree", F.col("node").alias("to"), F.col("to").alias("to2"), F.col("total").alias("total2"), F.col("depth").alias("depth2"))
-        state = materialize(state.join(far, ["tree", "to"], "left").select(
-            "tree", "node", F.col("to2").alias("to"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")))
-    return jumps, state.where("to is null").drop("to")
+    while active.take(1) and len(jumps) <= rounds:
+        jumps.append(active.select("tree", "node", "to"))
+        far = done.unionByName(active).select("tree", F.col("node").alias("to"), F.col("to").alias("to2"), F.col("total").alias("total2"), F.col("depth").alias("depth2"))
+        state = materialize(active.join(far, ["tree", "to"]).select(
+            "tree", "node", F.col("to2").alias("to"), (F.col("total") + F.col("total2")).alias("total"), (F.col("depth") + F.col("depth2")).alias("depth")))
+        done, active = done.unionByName(state.where("to is null")), state.where("to is not null")
+    return jumps, done.drop("to")
 
 
 def paths(messages: DataFrame, keep: int = 1) -> DataFrame:
