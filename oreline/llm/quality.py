@@ -99,4 +99,6 @@ def judged(docs: DataFrame, text_col: str = "text", keep=("doc_id",), rules=RULE
 def good(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     """The rows that pass, with their own columns; a struct carries them so that names cannot clash."""
     packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("__row"), F.col(text_col).alias("__body"))
-    return judged(packed, "__body", ("__row",), rules).where("kept").select("__row.*")
+    # the filter must stay above the projection: pushed below, every rule would repeat the work of all measures
+    out = judged(packed, "__body", ("__row",), rules).withColumn("__fence", F.monotonically_increasing_id())
+    return out.where(F.col("kept") & (F.col("__fence") >= 0)).select("__row.*")
