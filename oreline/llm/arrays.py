@@ -23,18 +23,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    def run(base):
-        out = np.full(size, base, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
-    return run(_BASE), run(pow(_BASE, -1, 1 << 64))
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(16, int(n).bit_length()))
+    """``n`` powers or more of the base and of its inverse modulo 2**64; a worker keeps the longest tables only."""
+    if len(_POWERS[0]) < n:
+        size = max(1 << 16, n + n // 8)
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            table = np.full(size, base, np.uint64)
+            table[0] = 1
+            _POWERS[i] = np.multiply.accumulate(table)
+    return _POWERS[0], _POWERS[1]
 
 
 @functools.lru_cache(maxsize=2)

@@ -25,7 +25,7 @@ from . import pretokens as P
 from .arrays import blocks, strings
 
 CAPACITY, END_ID = 1024, 2
-TEXT_BLOCK = 4 << 20
+TEXT_BLOCK = 1 << 20                             # a worker's arrays stay small beside the executor's heap
 RANGES = 1024
 
 
