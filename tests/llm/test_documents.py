@@ -290,3 +290,28 @@ def test_runs_with_two_shifts():
     x = np.arange(100, dtype=np.uint32)
     y = np.concatenate([x[50:], np.arange(1000, 2000, dtype=np.uint32), x[:50]]).astype(np.uint32)
     assert sorted(passages.matched_runs(x, y, 46, 80)) == [(0, 49, 1050, 1099), (50, 99, 0, 49)]
+
+
+def test_runs_that_fail_as_a_whole_give_their_parts():
+    x, y, at = [], [], []
+    for i in range(3):                           # three exact stretches, 7 words between them here and 30 there
+        exact = list(range(1000 * i, 1000 * i + 56))
+        at.append((len(x), len(x) + 55, len(y), len(y) + 55))
+        x += exact + list(range(10_000 + 100 * i, 10_011 + 100 * i))
+        y += exact + list(range(20_000 + 100 * i, 20_034 + 100 * i))
+    assert sorted(passages.matched_runs(np.array(x, "<u4"), np.array(y, "<u4"), 46, 80)) == at
+    x = np.arange(400, dtype="<u4")
+    y = x.copy()
+    for i in (30, 60, 90):                       # similar in the first 120 words, loosely so behind them
+        y[i:i + 4] += 5000
+    for i in range(120, 400, 14):
+        y[i:i + 9] += 5000
+    runs = passages.matched_runs(x, y, 46, 80)
+    assert any(a <= 5 and b >= 115 and c <= 5 and d >= 115 for a, b, c, d in runs)
+
+
+def test_both_places_of_a_passage_in_the_other_text():
+    x = np.arange(60, dtype="<u4")
+    y = np.concatenate([np.arange(900, 930), x, np.arange(700, 740), x]).astype("<u4")
+    for shift in (None, 30, 130):
+        assert sorted((c, d) for a, b, c, d in passages.matched_runs(x, y, 46, 80, shift)) == [(30, 89), (130, 189)]
