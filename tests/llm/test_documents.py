@@ -315,3 +315,41 @@ def test_both_places_of_a_passage_in_the_other_text():
     y = np.concatenate([np.arange(900, 930), x, np.arange(700, 740), x]).astype("<u4")
     for shift in (None, 30, 130):
         assert sorted((c, d) for a, b, c, d in passages.matched_runs(x, y, 46, 80, shift)) == [(30, 89), (130, 189)]
+
+
+def _own_words(seed):
+    rng = np.random.default_rng(seed)
+    return lambda n: ["w" + str(x) for x in rng.integers(0, 1_000_000, n)]
+
+
+def _places(spark, rows):
+    """Words of each document that are in a passage."""
+    out = defaultdict(set)
+    for r in passages.repeated_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")).collect():
+        out[r.doc_id] |= set(range(r.first_word, r.last_word + 1))
+    return out
+
+
+def test_header_and_footer_around_bodies_of_different_length(spark):
+    for seed in range(3):
+        words = _own_words(seed)
+        head, foot = words(60), words(60)
+        rows = [(i, head + words(n) + foot) for i, n in enumerate((110, 140, 170, 95, 118))]
+        found = _places(spark, rows)
+        for k, w in rows:
+            assert set(range(60)) | set(range(len(w) - 60, len(w))) <= found[k]
+
+
+def test_links_of_many_places():
+    rng = np.random.default_rng(3)
+    root = np.sort(rng.choice(4000, 300, replace=False))
+    place = (root << 32) | (np.minimum(root, 60) << 17) | (70 << 2)
+    parts = list(passages._joined(place, place[:40], size=1000))
+    assert max(p.shape[1] for p in parts) <= 1000 and sum(p.shape[1] for p in parts) == 300 * 40
+    links = np.concatenate(parts, axis=1)
+    slim = passages._widest(links)
+    covered = lambda ls: {(s, x) for a, b, s, _ in ls.T.tolist() for x in range(a, b + 1)}
+    assert covered(slim) == covered(links)
+    # a far shift that starts in front does not swallow what lies before its end
+    assert passages.sweep_links(np.array([[0, 170, 10], [55, 229, 40], [0, -30, 500], [0, 1, 2]])) == [
+        (0, 55, 0, 0, 1), (10, 40, 500, 500, 4), (170, 229, -30, -30, 2)]
