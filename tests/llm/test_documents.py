@@ -340,6 +340,24 @@ def test_header_and_footer_around_bodies_of_different_length(spark):
             assert set(range(60)) | set(range(len(w) - 60, len(w))) <= found[k]
 
 
+def _phrase_twice(seed, groups):
+    """Groups of three: a phrase with two surroundings, and one text that shares the first, one that shares the second."""
+    words, rows = _own_words(seed), []
+    for i in range(groups):
+        phrase, one, two = words(40), words(20), words(20)
+        rows.append((3 * i, words(70) + phrase + one + words(80) + phrase + two + words(30)))
+        rows.append((3 * i + 1, words(90) + phrase + one + words(60)))
+        rows.append((3 * i + 2, words(50) + phrase + two + words(80)))
+    return rows
+
+
+def test_a_phrase_that_is_twice_in_the_partner(spark):
+    found = _places(spark, _phrase_twice(5, 30))
+    for i in range(30):
+        assert set(range(70, 130)) | set(range(210, 270)) <= found[3 * i]
+        assert set(range(90, 150)) <= found[3 * i + 1] and set(range(50, 110)) <= found[3 * i + 2]
+
+
 def test_links_of_many_places():
     rng = np.random.default_rng(3)
     root = np.sort(rng.choice(4000, 300, replace=False))
