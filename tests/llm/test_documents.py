@@ -371,3 +371,36 @@ def test_links_of_many_places():
     # a far shift that starts in front does not swallow what lies before its end
     assert passages.sweep_links(np.array([[0, 170, 10], [55, 229, 40], [0, -30, 500], [0, 1, 2]])) == [
         (0, 55, 0, 0, 1), (10, 40, 500, 500, 4), (170, 229, -30, -30, 2)]
+
+
+def _edited_copies(seed, groups, copies=6):
+    """Groups of a passage of 150 words and copies with three edited words each, 40 words apart; the rest is each text's own."""
+    words, rows = _own_words(seed), []
+    for g in range(groups):
+        base = words(150)
+        rows.append((100 * g, words(60) + base + words(40)))
+        for i in range(copies):
+            own = list(base)
+            for at in range(18 + 6 * i, 18 + 6 * i + 81, 40):
+                own[at] = words(1)[0]
+            rows.append((100 * g + 1 + i, words(50 + i) + own + words(30 + i)))
+    return rows
+
+
+def test_copies_that_are_only_like_their_base(spark):
+    rows = _edited_copies(11, 12)
+    found = _places(spark, rows)
+    assert {k for k, _ in rows} == set(found)
+    whole = sum(len(found[k] & set(range(49 + k % 100, 199 + k % 100))) >= 120 for k, _ in rows if k % 100)
+    assert whole == 12 * 6
+
+
+def test_a_passage_whose_roots_are_frequent_phrases(spark):
+    words = _own_words(21)
+    passage = words(60)
+    text = spark.createDataFrame([(1, " ".join(passage))], "doc_id long, text string")
+    roots = {r.place >> 32 for r in passages.windows(text).collect()}
+    frequent = [passage[max(0, r - 1):r + 6] for r in sorted(roots)]
+    rows = [(i, words(40) + passage + words(30)) for i in (1, 2)]
+    rows += [(100 + i, [w for f in frequent for w in words(60) + f] + words(60)) for i in range(60)]
+    assert set(_places(spark, rows)) == {1, 2}
