@@ -61,12 +61,14 @@ def measures(docs: DataFrame, text_col: str = "text", keep=()) -> DataFrame:
                      f"(b, a) -> cast(least(b - a, {RUN}) AS bigint)), 0L, (t, x) -> t + x), 0L)")
     stop = F.size(F.filter("__words", lambda w: F.lower(w).isin(STOP_WORDS)))
     n = F.size("__words").cast("long")
-    counts = base.select(
-        *keep, n.alias("n_words"), _left(F.col("__text"), f"[{SPACE}]+").alias("word_chars"),
+    counts = (
+        n.alias("n_words"), _left(F.col("__text"), f"[{SPACE}]+").alias("word_chars"),
         _left(F.col("__text"), f"[^{SYMBOLS}]+").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"), F.size("__lines").cast("long").alias("n_lines"),
         stop.cast("long").alias("n_stop"), _left(F.col("__text"), r"[^\p{Lu}]+").alias("n_upper"))
+    # a generator of one row: filters on the measures stay above it, else every reference would repeat the work of all
+    counts = base.select(*keep, F.inline(F.array(F.struct(*counts))))
     per = lambda part, whole: F.coalesce(F.try_divide(F.col(part), F.col(whole)), F.lit(0.0))
     return counts.select("*", per("word_chars", "n_words").alias("mean_word_length"), per("n_symbols", "n_words").alias("symbol_ratio"),
                          per("n_upper", "word_chars").alias("upper_ratio"), per("n_stop", "n_words").alias("stop_ratio"),
@@ -99,6 +101,4 @@ def judged(docs: DataFrame, text_col: str = "text", keep=("doc_id",), rules=RULE
 def good(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
     """The rows that pass, with their own columns; a struct carries them so that names cannot clash."""
     packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("__row"), F.col(text_col).alias("__body"))
-    # the filter must stay above the projection: pushed below, every rule would repeat the work of all measures
-    out = judged(packed, "__body", ("__row",), rules).withColumn("__fence", F.monotonically_increasing_id())
-    return out.where(F.col("kept") & (F.col("__fence") >= 0)).select("__row.*")
+    return judged(packed, "__body", ("__row",), rules).where("kept").select("__row.*")
