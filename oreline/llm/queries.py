@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, classifier, fingerprints, mixing, neardup, packing, passages, quality, secrets, tokens
+from . import chat, classifier, fingerprints, jaccard, mixing, neardup, negatives, packing, passages, quality, secrets, spelling, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -137,3 +137,48 @@ def quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     texts, marks = classifier.labelled_sample(docs, labels, "doc_id", "text", "quality", classifier.SAMPLE_ROWS, classifier.SAMPLE_BYTES)
     scored = classifier.score(docs, classifier.fit(texts, marks))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+_JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id,
+                            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+t AS (SELECT r, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                        ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) END AS grams FROM w),
+c AS MATERIALIZED (SELECT min(doc_id) AS least, array_agg(doc_id) AS members, list_sort(grams) AS grams, len(grams) AS n, row_number() OVER () AS k FROM t GROUP BY list_sort(grams), len(grams)),
+g AS MATERIALIZED (SELECT k, n, unnest(grams) AS gram FROM c),
+l AS MATERIALIZED (SELECT a.k AS x, b.k AS y FROM g a JOIN g b ON a.gram = b.gram AND a.k < b.k AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+      GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l UNION ALL SELECT k, k FROM c),
+reach AS (SELECT x, y FROM e UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x),
+m AS (SELECT x AS k, min(c.least) AS least FROM reach JOIN c ON c.k = reach.y GROUP BY x)
+SELECT u.doc_id, c.n::BIGINT AS n_shingles, CASE WHEN c.n = 0 THEN u.doc_id ELSE m.least END AS component_id
+FROM c JOIN m USING (k), unnest(c.members) AS u(doc_id)"""
+
+
+@query("op11_ngram_jaccard_join", _JACCARD_SQL)
+def ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_join(documents(spark, sf))
+
+
+@query("op12_spelling_variants")
+def spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+_NEGATIVES_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, a.label = b.label AS alike, b.vec_id AS id, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id, score FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INT) AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3"""
+
+
+@query("op13_hard_negatives", _NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(spark.read.parquet(f"{sf}/embeddings.parquet"), label=shifted)
