@@ -15,10 +15,10 @@ their differences alone, |y & z| = |x| - |gone(y) | gone(z)| + |come(y) & come(z
 those between 2 s - 1 and s are met with others, in blocks of bounded size.
 
 *Blocks skipped by position.* What may be missing are links between entries of a list that are both not linked to its pivot
-and of which one is not near it (``_rest``). Lists that still hold such entries of different components are cut by size bands
-and into blocks; entries are sorted by position, so that for each the tail of the list falls away where the positions
-leave too few shingles. Parity bits of the sets (about one bit a shingle) bound the overlap from above; what is
-left is compared in full.
+and of which one is not near it (``_rest``). Lists are cut by size bands and into blocks; a
+part whose positions leave too few shingles is skipped, as are parts of one component. In a block entries are sorted by position,
+so that for each the tail of the list falls away. Parity bits of the sets (about one bit a shingle, ``SHORT_BITS`` bytes in a
+list, in full for single pairs) bound the overlap from above; what is left is compared in full.
 
 All bounds are exact, so no link is lost and none is added; a pair is never emitted unless both bounds let it pass.
 
@@ -43,6 +43,7 @@ from .tables import components, keep_likely
 
 COUNTERS = 1 << 16                               # slots of the table of shingle counts that goes to every task
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 400_000
+SHORT_BITS = 64                                  # bytes of parity bits at most that an entry of a list carries
 
 
 def shingle_counts(docs: DataFrame, text_col: str, width: int, lower: bool) -> np.ndarray:
@@ -68,6 +69,14 @@ def parity_bits(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def folded(bits: bytes, size: int = SHORT_BITS) -> bytes:
+    """The parity bits of fewer slots: slots are the low bits of a hash, so halves fold onto each other."""
+    out = np.frombuffer(bits, np.uint8)
+    while len(out) > size:
+        out = out[:len(out) // 2] ^ out[len(out) // 2:]
+    return out.tobytes()
+
+
 def differing(bits: list[np.ndarray], a: int, others: np.ndarray) -> np.ndarray:
     """At least how many shingles ``a`` and each of the others do not share."""
     out = np.zeros(len(others), np.int64)
@@ -76,8 +85,7 @@ def differing(bits: list[np.ndarray], a: int, others: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(sizes == size)
         rows = np.stack([bits[i] for i in others[at].tolist()])
         one = bits[a]
-        while len(one) > rows.shape[1]:          # slots are the low bits of a hash: a larger table folds onto a smaller one
-            one = one[:len(one) // 2] ^ one[len(one) // 2:]
+        one = np.frombuffer(folded(one.tobytes(), rows.shape[1]), np.uint8)
         while rows.shape[1] > len(one):
             rows = rows[:, :rows.shape[1] // 2] ^ rows[:, rows.shape[1] // 2:]
         out[at] = np.bitwise_count(rows ^ one).sum(axis=1)
@@ -85,7 +93,7 @@ def differing(bits: list[np.ndarray], a: int, others: np.ndarray) -> np.ndarray:
 
 
 def summaries(docs: DataFrame, id_col: str, text_col: str, width: int, lower: bool, percent: int) -> DataFrame:
-    """(id, th - a hash of the text -, n, s1, s2 - two hashes of the set -, prefix array<long>, bits binary) for each document."""
+    """(id, th - a hash of the text -, n, s1, s2 - two hashes of the set -, prefix array<long>, bits, short binary) for each document."""
     often = shingle_counts(docs, text_col, width, lower)
 
     def run(batches):
@@ -102,10 +110,10 @@ def summaries(docs: DataFrame, id_col: str, text_col: str, width: int, lower: bo
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(row, len(texts)), batch.column(1).slice(row, len(texts)), pa.array(n, pa.int64()),
                     pa.array(_sums(found, begin).view(np.int64)), pa.array(_sums(mix(found ^ np.uint64(77)), begin).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[first].view(np.int64))), pa.array(bits, pa.binary())],
-                    names=["id", "th", "n", "s1", "s2", "prefix", "bits"])
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[first].view(np.int64))), pa.array(bits, pa.binary()),
+                    pa.array([folded(b) for b in bits], pa.binary())], names=["id", "th", "n", "s1", "s2", "prefix", "bits", "short"])
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "id long, th long, n long, s1 long, s2 long, prefix array<long>, bits binary"))
+            .mapInArrow(run, "id long, th long, n long, s1 long, s2 long, prefix array<long>, bits binary, short binary"))
 
 
 def needed(percent: int, a: Column, b: Column) -> Column:
@@ -240,12 +248,17 @@ def _rest(lists: DataFrame, near: DataFrame, component: DataFrame, classes: Data
     state = lists.where("c <> p").join(told, ["c", "p"], "left").withColumn("far", F.coalesce("far", F.lit(True)))
     state = state.where(~F.coalesce("linked", F.lit(False)))
     state = materialize(_with_component(state, component, "c").select("key", "c", "n", "pos", "far", "component"))
-    mixed = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("far").alias("far")).where("lo < hi and far").select("key")
-    state = state.join(materialize(mixed), "key")
     # sets of similar size are in one band or in neighbouring ones; a group holds a band and the next
     band = F.floor(F.log("n") / -math.log(percent / 100)).cast("int")
     state = state.withColumn("band", band).withColumn("group", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    state = state.join(classes.select(F.col("th").alias("c"), "bits"), "c")
+    mixed = state.groupBy("key", "group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("far").alias("far"), F.min("pos").alias("front"))
+    mixed = materialize(mixed.where("lo < hi and far").select("key", "group", "front"))
+    # positions may not add up to more than the sets may differ by; the larger set has at most n / similarity shingles
+    reach = F.col("n") * ((1 + 100 / percent) * (1 - 2 * percent / (100 + percent))) + F.lit(1e-6)
+    state = materialize(state.join(mixed, ["key", "group"]).where(F.col("pos") + F.col("front") <= reach).drop("front"))
+    mixed = state.groupBy("key", "group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("far").alias("far")).where("lo < hi and far")
+    state = state.join(materialize(mixed.select("key", "group")), ["key", "group"])
+    state = state.join(classes.select(F.col("th").alias("c"), F.col("short").alias("bits")), "c")
 
     def run(batches):
         for (_, group, i, j), table in whole(batches, ["key", "group", "i", "j"]):
@@ -256,7 +269,6 @@ def _rest(lists: DataFrame, near: DataFrame, component: DataFrame, classes: Data
             bits = [np.frombuffer(b, np.uint8) for b in table.column("bits").to_pylist()]
             out = []
             for a in range(len(c) - 1):
-                # positions may not add up to more than the sets may differ by; the larger set has at most n / similarity
                 most = n[a] * (1 + 100 / percent)
                 end = np.searchsorted(pos, most * (1 - 2 * percent / (100 + percent)) - pos[a] + 1e-6, "right")
                 b = np.arange(a + 1, max(a + 1, int(end)))
@@ -279,7 +291,7 @@ def _rest(lists: DataFrame, near: DataFrame, component: DataFrame, classes: Data
 
 
 def _linked(classes: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:
-    """(node, component) among the classes (th, n, prefix, bits); nodes without a link may be left out."""
+    """(node, component) among the classes (th, n, prefix, bits, short); nodes without a link may be left out."""
     wide = max(1, 2 * percent - 100)
     cells = classes.select(F.col("th").alias("c"), "n", F.posexplode("prefix").alias("pos", "key"))
     sizes = cells.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
@@ -296,7 +308,7 @@ def _linked(classes: DataFrame, texts: DataFrame, width: int, lower: bool, perce
     as_edge = lambda known: known.select(F.col("node").alias("a"), F.col("component").alias("b"))
     component = materialize(components(as_link(near)))
     component = materialize(components(_derived(near, component, percent).unionByName(as_edge(component))))
-    more = compared(_rest(lists, near, component, classes, percent), texts, width, lower, percent)
+    more = compared(_possible(_rest(lists, near, component, classes, percent), classes, percent), texts, width, lower, percent)
     return components(as_link(more).unionByName(as_edge(component)))
 
 
@@ -309,8 +321,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     told = materialize(summaries(docs, id_col, text_col, width, lower, percent))
     key = ["s1", "s2", "n"]
     full = told.where("n > 0")
-    leaders = materialize(full.groupBy(*key).agg(F.min("th").alias("th"), F.min("id").alias("least")))
-    classes = materialize(full.join(leaders.select("th"), "th", "left_semi").dropDuplicates(["th"]).select("th", "n", "prefix", "bits"))
+    # copies are combined before the shuffle
+    body = F.min_by(F.struct("prefix", "bits", "short"), "th").alias("body")
+    classes = materialize(full.groupBy(*key).agg(F.min("th").alias("th"), F.min("id").alias("least"), body).select(*key, "th", "least", "body.*"))
+    leaders, classes = classes.select(*key, "th", "least"), classes.select("th", "n", "prefix", "bits", "short")
     texts = docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     linked = _linked(classes, texts, width, lower, percent)
     leaders = leaders.join(linked, leaders["th"] == linked["node"], "left").withColumn("component", F.coalesce("component", "th"))
