@@ -5,7 +5,9 @@ A text is never cut: a block holds whole texts and is larger than ``BLOCK`` only
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,37 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+CACHES = []                                      # functions that empty what a worker keeps between texts
+
+
+def forget_powers() -> None:
+    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+CACHES.append(forget_powers)
+
+
+def lean(run):
+    """``run`` over the batches of a partition; the worker then gives its memory back.
+
+    Spark keeps Python workers for later tasks. An idle one should not hold the tables and freed blocks of a task that is over.
+    """
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for empty in CACHES:
+                empty()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):    # another C library
+                pass
+    return wrapped
+
+
 @functools.lru_cache(maxsize=2)
 def _byte_values(lower: bool) -> np.ndarray:
     codes = np.arange(256, dtype=np.uint64)

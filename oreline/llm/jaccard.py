@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize, shuffle_width
-from .arrays import blocks, mix, strings
+from .arrays import blocks, lean, mix, strings
 from .neardup import _sums, set_shingles
 from .runs import whole
 from .tables import components, keep_likely
@@ -56,7 +56,7 @@ def shingle_counts(docs: DataFrame, text_col: str, width: int, lower: bool) -> n
                 total += np.bincount((found >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "times"])
-    told = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times")).toPandas()
+    told = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(count), "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times")).toPandas()
     out = np.zeros(COUNTERS, np.int64)
     out[told["slot"].to_numpy(np.int64)] = told["times"].to_numpy(np.int64)
     return np.minimum(out, (1 << 31) - 1).astype(np.int32)
@@ -113,7 +113,7 @@ def summaries(docs: DataFrame, id_col: str, text_col: str, width: int, lower: bo
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[first].view(np.int64))), pa.array(bits, pa.binary()),
                     pa.array([folded(b) for b in bits], pa.binary())], names=["id", "th", "n", "s1", "s2", "prefix", "bits", "short"])
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "id long, th long, n long, s1 long, s2 long, prefix array<long>, bits binary, short binary"))
+            .mapInArrow(lean(run), "id long, th long, n long, s1 long, s2 long, prefix array<long>, bits binary, short binary"))
 
 
 def needed(percent: int, a: Column, b: Column) -> Column:
@@ -132,7 +132,7 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(4)], names=["c", "p", "n", "m"]).filter(pa.array(good, pa.bool_()))
     sides = (pairs.join(classes.select(F.col("th").alias("c"), F.col("bits").alias("x")), "c")
              .join(classes.select(F.col("th").alias("p"), F.col("bits").alias("y")), "p"))
-    return sides.select("c", "p", "n", "m", "x", "y").mapInArrow(run, "c long, p long, n long, m long")
+    return sides.select("c", "p", "n", "m", "x", "y").mapInArrow(lean(run), "c long, p long, n long, m long")
 
 
 def compared(pairs: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:
@@ -174,7 +174,7 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int, lower: bool, percen
                         out.append((c[row + i], p[row + i], len(own), len(pivot), common, np.flatnonzero(left).astype("<i4").tobytes(), own[~there].tobytes()))
             kinds = (pa.int64(),) * 5 + (pa.binary(),) * 2
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(7)], names=["c", "p", "n", "m", "common", "gone", "come"])
-    return both.mapInArrow(run, "c long, p long, n long, m long, common long, gone binary, come binary")
+    return both.mapInArrow(lean(run), "c long, p long, n long, m long, common long, gone binary, come binary")
 
 
 def _one_each(a, b, component):
@@ -215,7 +215,7 @@ def _derived(near: DataFrame, component: DataFrame, percent: int) -> DataFrame:
             a, b = _one_each(*np.nonzero(np.triu(good, 1)), component)
             yield pa.RecordBatch.from_arrays([pa.array(c[a], pa.int64()), pa.array(c[b], pa.int64())], names=["a", "b"])
     weight = (F.octet_length("gone") / 4 + F.octet_length("come") / 8).cast("long")
-    return _dealt(state, ["p"], weight, "c").mapInArrow(run, "a long, b long")
+    return _dealt(state, ["p"], weight, "c").mapInArrow(lean(run), "a long, b long")
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -287,7 +287,7 @@ def _rest(lists: DataFrame, near: DataFrame, component: DataFrame, classes: Data
                 up = c[a] > c[b]
                 a, b = np.where(up, a, b), np.where(up, b, a)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (c[a], c[b], n[a], n[b])], names=["c", "p", "n", "m"])
-    return _dealt(state, ["key", "group"], F.lit(0), "c").mapInArrow(run, "c long, p long, n long, m long").distinct()
+    return _dealt(state, ["key", "group"], F.lit(0), "c").mapInArrow(lean(run), "c long, p long, n long, m long").distinct()
 
 
 def _linked(classes: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .arrays import Words, blocks, mix, shingles, strings
+from .arrays import Words, blocks, lean, mix, shingles, strings
 from .tables import components, keep_likely
 
 BANDS, ROWS = 36, 5
@@ -107,7 +107,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(band[count > 0].ravel().view(np.int64))),
                     pa.array([s.tobytes() for s in sketch], pa.binary())], names=["id", "th", "n", "s1", "s2", "bands", "sketch"])
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "id long, th long, n long, s1 long, s2 long, bands array<long>, sketch binary"))
+            .mapInArrow(lean(run), "id long, th long, n long, s1 long, s2 long, bands array<long>, sketch binary"))
 
 
 def _agreement(pairs: DataFrame, sig: DataFrame) -> DataFrame:
@@ -121,7 +121,7 @@ def _agreement(pairs: DataFrame, sig: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(close))
     sides = (pairs.join(sig.select(F.col("th").alias("a"), F.col("sketch").alias("sa")), "a")
              .join(sig.select(F.col("th").alias("b"), F.col("sketch").alias("sb")), "b"))
-    return sides.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return sides.select("a", "b", "sa", "sb").mapInArrow(lean(run), "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:
@@ -145,7 +145,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, lower: bool, percen
     found = materialize(keep_likely(texts, ["th"], wanted).join(wanted, "th").dropDuplicates(["th"]))
     sides = (pairs.join(found.select(F.col("th").alias("a"), F.col("text").alias("ta")), "a")
              .join(found.select(F.col("th").alias("b"), F.col("text").alias("tb")), "b"))
-    return sides.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return sides.select("a", "b", "ta", "tb").mapInArrow(lean(run), "a long, b long")
 
 
 def _ordered(cells: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def _prefixes(texts: DataFrame, width: int, lower: bool, percent: int) -> DataFr
                 total += np.bincount((found >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "times"])
-    counted = texts.select("th", "text").mapInArrow(count, "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times")).toPandas()
+    counted = texts.select("th", "text").mapInArrow(lean(count), "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times")).toPandas()
     often = np.zeros(COUNTERS, np.int64)
     often[counted["slot"].to_numpy(np.int64)] = counted["times"].to_numpy(np.int64)
     often = np.minimum(often, (1 << 31) - 1).astype(np.int32)
@@ -200,7 +200,7 @@ def _prefixes(texts: DataFrame, width: int, lower: bool, percent: int) -> DataFr
                     owners.append(np.full(keep, th, np.int64))
                     sizes.append(np.full(keep, n, np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, owners, sizes)], names=["key", "th", "n"])
-    return texts.select("th", "text").mapInArrow(cut, "key long, th long, n long")
+    return texts.select("th", "text").mapInArrow(lean(cut), "key long, th long, n long")
 
 
 def _compared(families: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:
@@ -217,7 +217,7 @@ def _compared(families: DataFrame, texts: DataFrame, width: int, lower: bool, pe
                 yield pa.RecordBatch.from_arrays([batch.column(i).slice(row, len(part)) for i in range(3)] + [
                     pa.array(np.diff(begin), pa.int64()), pa.array(body, pa.binary())], names=["th", "family", "component", "n", "body"])
     sets = materialize(texts.join(families, "th").select("th", "family", "component", "text")
-                       .mapInArrow(pack, "th long, family long, component long, n long, body binary"))
+                       .mapInArrow(lean(pack), "th long, family long, component long, n long, body binary"))
     number = sets.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("number"))
     cells = sets.join(materialize(number), "family").withColumn("own", F.pmod(F.xxhash64("th"), F.col("number")).cast("int"))
     cells = cells.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("number") - 1)))

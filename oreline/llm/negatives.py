@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
+from .arrays import lean
 from .runs import slices
 
 CODES, SAMPLE_ROWS, SHARD_ROWS, SCALE = 16, 8192, 8192, 256
@@ -187,7 +188,7 @@ def _searched(index: DataFrame, anchors: DataFrame, shards: int, width: int, boo
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
     names = [c.split()[0] for c in schema.split(", ")]
-    return both.mapInArrow(run, schema)
+    return both.mapInArrow(lean(run), schema)
 
 
 def hard_negatives(vectors: DataFrame, id_col: str = "vec_id", label_col: str = "label", vector_col: str = "embedding", label: Column | None = None,

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
 from . import pretokens as P
-from .arrays import blocks, strings
+from .arrays import blocks, lean, strings
 
 CAPACITY, END_ID = 1024, 2
 TEXT_BLOCK = 1 << 20                             # a worker's arrays stay small beside the executor's heap
@@ -64,7 +64,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                     batch.column(0).slice(row, len(texts)).take(pa.array(doc)), pa.array(nth.astype(np.int32)), pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long"))
+            .mapInArrow(lean(run), "doc_id long, piece int, start long, length long, ids_crc32 long"))
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

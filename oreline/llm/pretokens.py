@@ -15,7 +15,7 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
-from .arrays import mix, powers, raw
+from .arrays import CACHES, mix, powers, raw
 
 SPECIAL = "<|endoftext|>"                        # fixed value: the special token of the file
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
@@ -147,7 +147,7 @@ class Pieces:
     bounded; forgetting costs time, never results.
     """
 
-    LIMIT, SLOTS = 2_000_000, 20
+    LIMIT, SLOTS = 500_000, 18
 
     def __init__(self, path: str):
         self.tokenizer = library(path)
@@ -205,3 +205,12 @@ class Pieces:
 @functools.lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces(path)
+
+
+def forget() -> None:
+    """Drop the tokenizers and their pieces; a later task loads them again."""
+    pieces.cache_clear()
+    library.cache_clear()
+
+
+CACHES.append(forget)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .arrays import strings
+from .arrays import lean, strings
 
 KINDS = ("assign", "access", "hex", "random")
 # The base patterns. Letters of the first are taken in either case, ASCII only.
@@ -121,8 +121,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
                 [batch.column(0), *[count(k) for k in range(4)], pa.array([_join(b) for b, _ in rows], pa.string()),
                  pa.array([_join(a) for _, a in rows], pa.string())],
                 names=["doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_spans", "spans"])
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_spans string, spans string"))
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(run), "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_spans string, spans string"))
 
 
 def masked(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", length_col: str | None = "n_chars", samples=None) -> DataFrame:
@@ -145,7 +144,7 @@ def masked(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", leng
         for batch in batches:
             column = pa.array([clean(t) for t in batch.column(place).to_pylist()], pa.string())
             yield batch.set_column(place, batch.schema.field(place).with_type(pa.string()), column)
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(lean(run), docs.schema)
     if length_col and length_col in docs.columns:
         new = F.length(text_col).cast(docs.schema[length_col].dataType)
         out = out.withColumn(length_col, F.when(F.col(text_col).isNull(), F.col(length_col)).otherwise(new))

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
+from .arrays import lean
 
 FILTER_BITS = 1 << 24                            # fixed: the filter has at most FILTER_BITS / 64 rows
 
@@ -66,7 +67,7 @@ def components(links: DataFrame) -> DataFrame:
         return new.where("a <> b").distinct()
 
     def reduced(edges):
-        return materialize(edges.select("a", "b").mapInArrow(_forest, "a long, b long"))
+        return materialize(edges.select("a", "b").mapInArrow(lean(_forest), "a long, b long"))
 
     edges = reduced(links.where("a <> b"))
     while True:
