@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cluster as C
+from ..operators import hierarchy as H
 from ..operators import neighbors as N
 from ..operators import reduce as P
 from ..operators import scale as S
@@ -156,13 +157,24 @@ def kmedoids_fixed_start(spark, sf):
 
 @query("uns5_hierarchical")
 def hierarchical(spark, sf):
-    rows, _ = C.hierarchical(C.standardized(vectors(spark, sf)), 3, "ward")
+    rows, _ = H.hierarchical(C.standardized(vectors(spark, sf)), 3, "ward")
     return rows.select("row_id", "cluster")
 
 
+_LINKED = ("WITH RECURSIVE e AS MATERIALIZED (SELECT vec_id AS row_id, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings), "
+           "l AS MATERIALIZED (SELECT a.row_id AS p, b.row_id AS q FROM e a JOIN e b ON list_distance(a.x, b.x) <= 1.0), "
+           "r AS (SELECT p, q FROM l UNION SELECT r.p, l.q FROM r JOIN l ON r.q = l.p) SELECT p AS row_id, min(q) AS first FROM r GROUP BY p")
+
+
+@query("uns5_single_linkage_cut", _LINKED)
+def single_linkage_cut(spark, sf):
+    """Clusters of single linkage at height 1: chains of steps of at most that length."""
+    return H.clusters_below(vectors(spark, sf), 1.0)
+
+
 @query("plt11_dendrogram")
 def dendrogram(spark, sf):
-    _, merges = C.hierarchical(vectors(spark, sf), 3, "average")
+    _, merges = H.hierarchical(vectors(spark, sf), 3, "average")
     return rounded(merges)
 
 

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreline.operators import cluster as C
+from oreline.operators import hierarchy as H
 from oreline.operators import evaluate as E
 from oreline.operators import metrics as M
 from oreline.operators import models as L
@@ -172,11 +173,11 @@ def test_merge_heights_equal_a_naive_tree(method):
         h, i, j = min((gap(a, b), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j)
         heights.append(h)
         groups[i] += groups.pop(j)
-    assert np.allclose(C.merge_tree(x, np.ones(25), method)["height"], heights)
+    assert np.allclose(H.merge_tree(x, np.ones(25), method)["height"], heights)
 
 
 def test_hierarchical_labels(spark):
-    rows, merges = C.hierarchical(as_vectors(frame(spark)), 3)
+    rows, merges = H.hierarchical(as_vectors(frame(spark)), 3)
     assert rows.select("cluster").distinct().count() == 3 and merges.count() == 119
 
 
