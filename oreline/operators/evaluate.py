@@ -85,6 +85,11 @@ def assign_folds(df: DataFrame, method: str, k: int, label: str = "label", ts: s
     return out, [(i, F.col("fold") != i) for i in range(k)]
 
 
+def few_values(df: DataFrame, column: str, limit: int = CLASSIFICATION_LIMIT) -> bool:
+    """Whether the column has fewer than ``limit`` distinct values, nulls aside; counted exactly, no further than needed."""
+    return df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit).count() < limit
+
+
 def cross_validate(df: DataFrame, features: list[str], factory, params=None, n_folds: int = 10, cv_method: str = "kfold", scoring=None,
                    scale: bool = True, balance: str | None = None, class_weight: str | None = None, ts: str | None = None,
                    name: str = "model", threads: int = 4, seed: int = 42) -> DataFrame:
@@ -97,7 +102,7 @@ def cross_validate(df: DataFrame, features: list[str], factory, params=None, n_f
     placed, folds = assign_folds(df, cv_method, n_folds, ts=ts, seed=seed)
     rows = materialize(placed)
     if scoring is None:
-        few = rows.agg(F.approx_count_distinct("label")).first()[0] < CLASSIFICATION_LIMIT
+        few = few_values(rows, "label")
         scores = ("accuracy", "precision_weighted", "recall_weighted", "f1_weighted") if few else ("MSE", "MAE", "R2")
         make = M.weighted_scores if few else M.regression_errors
     else:

@@ -216,3 +216,11 @@ def test_evolution_keeps_the_best(spark):
     out = E.evolve(frame(spark, 90), ["a", "b"], L.decision_tree, {"max_depth": ("int", 1, 4)}, population=2, generations=1, n_folds=2)
     best = {g: s for g, s in out.groupBy("generation").agg(F.max("score")).collect()}
     assert best[1] >= best[0]
+
+
+def test_border_between_classes_and_numbers(spark):
+    rows = spark.range(4000)
+    for values in (1, 19, 20, 300):
+        df = rows.select(F.when(F.col("id") % 7 > 0, F.col("id") % values).alias("label"))
+        assert E.few_values(df, "label") == (values < 20)
+    assert E.few_values(rows.where("false").withColumnRenamed("id", "label"), "label")
