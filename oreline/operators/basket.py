@@ -86,25 +86,70 @@ def _rule_metrics(sa: Column, sc: Column, s: Column) -> dict[str, Column]:
     }
 
 
+SHORT_SET = 6            # itemsets up to this length are split in one pass: 62 splits at most
+
+
+def _all_splits(store: DataFrame) -> DataFrame:
+    """Every (items, support, consequents): the subsets of a k-itemset are the bit masks 1 .. 2^k - 2."""
+    masks = (store.where("n_items >= 2")
+             .withColumn("_mask", F.explode(F.expr(
+                 "sequence(1L, shiftleft(1L, n_items) - 2L)"))))
+    return masks.select("items", "support", F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1L) = 0L)").alias("consequents"))
+
+
+def _grown_splits(store: DataFrame, supports: DataFrame, min_confidence: float) -> DataFrame:
+    """(items, support, consequents) that reach the confidence, by growing consequents.
+
+    Moving an item from the antecedent to the consequent can only lower the confidence. So consequents
+    of j + 1 items are put together from two passing ones of j items that share the first j - 1, and only
+    those are looked up. One stored table per length.
+    """
+    def passing(candidates):
+        known = candidates.join(supports, F.array_except("items", "consequents") == F.col("_set"))
+        return materialize(known.where(F.col("support") / F.col("_support") >= F.lit(min_confidence))
+                           .select("items", "support", "consequents"))
+
+    longest = store.agg(F.max("n_items")).first()[0] or 0
+    level = passing(store.select("items", "support", F.explode("items").alias("_i")).select(
+        "items", "support", F.array("_i").alias("consequents")))
+    levels = [level]
+    for size in range(2, longest):
+        head = F.slice("consequents", 1, size - 2)
+        left = level.select("items", "support", head.alias("_head"), F.element_at("consequents", -1).alias("_a"))
+        right = level.select("items", head.alias("_head"), F.element_at("consequents", -1).alias("_b"))
+        pairs = left.join(right, ["items", "_head"]).where("_a < _b")
+        level = passing(pairs.where(F.size("items") > size).select(
+            "items", "support", F.concat("_head", F.array("_a", "_b")).alias("consequents")))
+        if level.isEmpty():
+            break
+        levels.append(level)
+    out = levels[0]
+    for more in levels[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def association_rules(itemsets: DataFrame, metric: str = "confidence",
-                      min_threshold: float = 0.5) -> DataFrame:
+                      min_threshold: float = 0.5, short_set: int = SHORT_SET) -> DataFrame:
     """Every split of every itemset into antecedent and consequent that passes the threshold.
 
-    The subsets of a k-itemset are numbered 1 .. 2^k - 2 by bit mask and produced by a row
-    generator; supports come from two equi-joins on the sorted item array.
+    Itemsets of up to ``short_set`` items are split in one pass. Longer ones grow their consequents level by
+    level with confidence as the bound; a support threshold drops whole itemsets first. The other measures give
+    no bound, so all splits of their itemsets are made. Supports come from equi-joins on the sorted item array.
     """
     store = materialize(itemsets.select("items", "freq", "support", "n_items"))
-    masks = (store.where("n_items >= 2")
-             .withColumn("_mask", F.explode(F.expr(
-                 "sequence(1L, shiftleft(1L, n_items) - 2L)"))))
-    split = masks.select(
-        F.col("items"), F.col("support"),
-        F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1L) = 1L)").alias("antecedents"),
-        F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1L) = 0L)").alias("consequents"))
-    ante = store.select(F.col("items").alias("antecedents"),
-                        F.col("support").alias("antecedent_support"))
-    cons = store.select(F.col("items").alias("consequents"),
-                        F.col("support").alias("consequent_support"))
+    wanted = store.where(F.col("support") >= F.lit(min_threshold)) if metric == "support" else store
+    supports = store.select(F.col("items").alias("_set"), F.col("support").alias("_support"))
+    if metric == "confidence" and min_threshold > 0:
+        split = _all_splits(wanted.where(F.col("n_items") <= short_set))
+        long_sets = wanted.where(F.col("n_items") > short_set)
+        if not long_sets.isEmpty():
+            split = split.unionByName(_grown_splits(long_sets, supports, min_threshold))
+    else:
+        split = _all_splits(wanted)
+    split = split.withColumn("antecedents", F.array_except("items", "consequents"))
+    ante = supports.toDF("antecedents", "antecedent_support")
+    cons = supports.toDF("consequents", "consequent_support")
     joined = split.join(ante, "antecedents").join(cons, "consequents")
     measures = _rule_metrics(F.col("antecedent_support"), F.col("consequent_support"),
                              F.col("support"))

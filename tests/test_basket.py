@@ -2,6 +2,7 @@ import math
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from oreline.operators import basket as B
 
@@ -64,3 +65,37 @@ def test_weighted_sample_under_a_dominant_weight(spark):
         per.setdefault(r.g, []).append(r["item"])
     assert len(per) == 300 and all(len(v) == 3 == len(set(v)) for v in per.values())
     assert sum(0 in v for v in per.values()) > 295
+
+
+def _as_set(rules):
+    return {("".join(r.antecedents), "".join(r.consequents), round(r.confidence, 9)) for r in rules.collect()}
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.75, 1.0])
+def test_grown_consequents_equal_all_splits(spark, threshold):
+    baskets = [(i, c) for i in range(120) for j, c in enumerate("ABCDEFG") if (i * (j + 3)) % (j + 4) or i % 2]
+    sets = B.frequent_itemsets(B.encode(B.transactions(spark.createDataFrame(baskets, "id_compra int, item string"))), 0.2)
+    grown = _as_set(B.association_rules(sets, min_threshold=threshold, short_set=1))
+    assert grown == _as_set(B.association_rules(sets, min_threshold=threshold, short_set=99)) and grown
+
+
+def test_twenty_items_at_high_confidence(spark):
+    # 20 items; only antecedents of 19 items, and those of 18 that hold items 0 to 15, are about as rare as the whole
+    items = [f"i{j:02d}" for j in range(20)]
+    rows = [(items, 90, 0.09, 20)]
+    for size, support in ((1, 0.5), (2, 0.5), (3, 0.5), (4, 0.5), (17, 0.5), (19, 0.095)):
+        rows += [(list(c), int(support * 1000), support, size) for c in combinations(items, size)]
+    for c in combinations(items, 18):
+        support = 0.095 if set(items[:16]) <= set(c) else 0.5
+        rows.append((list(c), int(support * 1000), support, 18))
+    sets = spark.createDataFrame(rows, "items array<string>, freq long, support double, n_items int")
+    only_whole = sets.withColumn("n_items", F.when(F.col("n_items") == 20, 20).otherwise(1))      # the others are only looked up
+    whole = B.association_rules(only_whole, min_threshold=0.9)
+    got = sorted(("".join(r.consequents)) for r in whole.collect())
+    tail = items[16:]
+    assert got == sorted(items + ["".join(c) for c in combinations(tail, 2)])
+
+
+def test_support_threshold_drops_whole_itemsets(sets):
+    rules = {("".join(r.antecedents), "".join(r.consequents)) for r in B.association_rules(sets, "support", 0.5).collect()}
+    assert rules == {("A", "B"), ("B", "A"), ("A", "C"), ("C", "A")}
