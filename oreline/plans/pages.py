@@ -190,3 +190,24 @@ def cursor_chain(spark, sf):
     from .tables import _event_bodies
     recs = J.read_pages(_event_bodies(spark, sf), "event_id bigint, event_type string, value double, k bigint")
     return recs.groupBy("page_no").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _linked_bodies(spark, sf):
+    """Pages of 50 events named by opaque tokens; page p names p + 3, so two thirds are orphans, some of them in loops."""
+    page = F.floor(F.col("event_id") / 50)
+    token = lambda p: F.md5(p.cast("string"))
+    follower = F.when((F.col("page_no") % 3 == 1) & (F.col("page_no") % 30 == 28), F.col("page_no") - 27).otherwise(F.col("page_no") + 3)
+    pages = table(spark, sf, "events").groupBy(page.alias("page_no")).agg(F.collect_list(F.struct("event_id", "value")).alias("hits"))
+    return pages.select(F.when(F.col("page_no") != 0, token(F.col("page_no"))).alias("own"),
+                        F.to_json(F.struct("hits", token(follower).alias("cursor"))).alias("body"))
+
+
+@query("jn9_cursor_links",
+       "WITH RECURSIVE pages AS (SELECT event_id // 50 AS p, count(*) AS n, min(event_id) AS first_event FROM events GROUP BY 1), "
+       "chain AS (SELECT p, CAST(0 AS BIGINT) AS rank FROM pages WHERE p = 0 UNION ALL "
+       "SELECT pages.p, c.rank + 1 FROM chain c JOIN pages ON pages.p = c.p + 3) "
+       "SELECT rank, first_event, n FROM chain JOIN pages USING (p)")
+def cursor_links(spark, sf):
+    from ..sources import json_pages as J
+    recs = J.read_chain(_linked_bodies(spark, sf), "event_id bigint, value double")
+    return recs.groupBy("rank").agg(F.min("record.event_id").alias("first_event"), F.count(F.lit(1)).alias("n"))

@@ -60,3 +60,31 @@ def test_intermediate_tables_live_in_the_shared_folder(spark):
     kept = materialize(spark.range(3))
     assert scratch_dir(spark).startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
     assert all(scratch_dir(spark) in f for f in kept.inputFiles())
+
+
+def chain(spark, *pages):
+    rows = [(own, p if isinstance(p, str) else json.dumps(p)) for own, p in pages]
+    got = J.read_chain(spark.createDataFrame(rows, "own string, body string").repartition(4), "a int").collect()
+    return [r.record.a for r in sorted(got, key=lambda r: (r["rank"], r.pos))]
+
+
+def page(a, cursor=None):
+    return {"hits": [{"a": a}], **({"cursor": cursor} if cursor else {})}
+
+
+def test_chain_is_read_in_cursor_order_without_loops_and_orphans(spark):
+    names = [None] + [f"c{(i * 37) % 101}" for i in range(1, 23)]
+    pages = [(n, page(i, names[i + 1] if i < 22 else None)) for i, n in enumerate(names)]
+    orphans = [("o1", page(900, "o2")), ("o2", page(901, "o1")), ("o3", page(902, names[5])), ("o4", page(903))]
+    assert chain(spark, *orphans, *pages[::-1]) == list(range(23))
+
+
+@pytest.mark.parametrize("pages,want", [
+    ([(None, page(0, "b")), ("b", page(1, "c")), ("c", page(2, "b"))], [0, 1, 2]),       # comes back: every page once
+    ([(None, page(0, "b")), ("b", page(1, "gone")), ("x", page(9, ""))], [0, 1]),        # a cursor no page has
+    ([("", page(0, "b")), ("b", "{broken"), ("c", page(2))], [0]),                       # not readable
+    ([(None, page(0, "b")), ("b", page(5)), ("b", page(4)), ("b", page(4))], [0, 4]),    # stored more than once
+    ([("b", page(0, "c"))], []),                                                         # no first page
+    ([(None, page(3))], [3])])
+def test_ends_of_a_chain(spark, pages, want):
+    assert chain(spark, *pages) == want
