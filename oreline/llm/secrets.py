@@ -1,9 +1,12 @@
 """Secret spans: fixed patterns, and character Markov models for what no pattern names.
 
-Two first-order models of the 66 symbols are trained from labelled samples: random strings and
-ordinary identifiers. A candidate (a long run of ``[A-Za-z0-9+/_=-]`` with letters and digits) is a secret when the
-log-likelihood ratio of the two models, averaged over its characters, exceeds a threshold and no base span overlaps it.
-The base patterns always count; the models only add spans.
+First-order models of the 66 symbols are trained from labelled samples: one of ordinary strings (identifiers, joined words and
+runs of the alphabet), and one of random strings for every set of character classes (lower case, upper case,
+digits). A candidate is a run of at least ``LEAST`` of ``[A-Za-z0-9+/_=-]`` with a letter and at least
+``DISTINCT`` different characters, none five times in a row, without the parts that base spans
+cover; it is a secret when the log-likelihood ratio of the random model of its classes to the ordinary one, averaged over its
+characters, exceeds the threshold of its length and classes. Runs of digits alone are never candidates: a random number looks
+like any other. The base patterns always count; the models only add spans.
 
 Null text counts as empty. Rows are judged alone; repeated rows, ties and other columns do not matter; an empty table gives
 an empty result.
@@ -12,6 +15,7 @@ an empty result.
 from __future__ import annotations
 
 import builtins
+import functools
 import hashlib
 import keyword
 import re
@@ -28,45 +32,111 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+LEAST = 12
+DISTINCT = 5
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+REPEAT = re.compile(r"(.)\1{4}")
+LENGTHS = (16, 24, 40)               # borders of the length classes that have thresholds of their own
+
+# Frequent words and word parts of seven languages: ordinary strings join them.
+WORDS = """the and that with for this from have are was not but they which their will would about there when your said each time
+other into more some could them these than then now only over also after first people because well even under between
+der die das und ist nicht mit auf ein eine sich von dem den des auch als nach wie oder aber noch wird sind werden haben durch
+schon zwischen heit keit lich ung schaft isch ver ge be zer
+le la les une est que dans qui pour pas sur avec sont mais nous vous leur cette comme tout plus elle ment eux aux ait eau ou
+el los las una por con para del pero como sobre entre todo cuando muy desde ser dad mente ando idad
+di che non sono della nel anche gli questo zione het een van niet zijn voor tion ness able ing ly""".split()
 
 SYMBOLS = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
 _INDEX = np.full(128, -1, np.int64)
 _INDEX[[ord(c) for c in SYMBOLS]] = np.arange(len(SYMBOLS))
 
 
-def labelled_samples(seed: int = 7, number: int = 4000):
-    """(text, is_random): seeded random strings, and identifiers put together from names of the standard language."""
+ALPHABETS = {
+    "hex": string.digits + "abcdef", "lower": string.ascii_lowercase, "upper": string.ascii_uppercase, "letters": string.ascii_letters,
+    "lower and digits": string.ascii_lowercase + string.digits, "upper and digits": string.ascii_uppercase + string.digits,
+    "letters and digits": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/",
+    "base64 of addresses": string.ascii_letters + string.digits + "-_"}
+SERIES = (string.ascii_lowercase, string.ascii_uppercase, string.digits + string.ascii_lowercase, "qwertyuiopasdfghjklzxcvbnm")
+
+
+def _ordinary(rng, names) -> str:
+    draw = rng.random()
+    if draw < 0.04:                                          # a run of the alphabet or the keyboard
+        row = SERIES[int(rng.integers(len(SERIES)))]
+        return row[int(rng.integers(0, len(row) - LEAST)):]
+    case = int(rng.integers(4))
+    if draw < 0.42:
+        text = "".join(WORDS[j] for j in rng.integers(0, len(WORDS), int(rng.integers(3, 8))))
+        return text.title() if case == 0 else text.upper() if case == 1 else text
+    parts = [names[j] for j in rng.integers(0, len(names), int(rng.integers(1, 5)))]
+    tail = str(int(rng.integers(0, 3000))) if rng.random() < 0.4 else ""
+    return ("_", "-", "/", "=", "")[int(rng.integers(5))].join(p.title() if case == 0 else p.upper() if case == 1 else p for p in parts) + tail
+
+
+def labelled_samples(seed: int = 7, number: int = 24000):
+    """(text, is_random): seeded random strings over several alphabets, and ordinary strings, all of at least ``LEAST`` characters."""
     rng = np.random.default_rng(seed)
-    alphabets = (string.digits + "abcdef", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/",
-                 string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits)
+    alphabets = list(ALPHABETS.values())
     for i in range(number):
         letters = alphabets[i % len(alphabets)]
-        yield "".join(letters[j] for j in rng.integers(0, len(letters), int(rng.integers(16, 48)))), True
+        yield "".join(letters[j] for j in rng.integers(0, len(letters), int(rng.integers(LEAST, 48)))), True
     names = sorted(set(keyword.kwlist + dir(builtins) + dir(str) + dir(np) + dir(re) + dir(hashlib)))
-    for i in range(number):
-        parts = [names[j] for j in rng.integers(0, len(names), int(rng.integers(2, 5)))]
-        joint = ("_", "-", "/", "")[i % 4]
-        tail = str(int(rng.integers(0, 3000))) if i % 2 else ""
-        yield joint.join(p.title() if i % 3 == 0 else p for p in parts) + tail, False
+    made = 0
+    while made < number:
+        text = _ordinary(rng, names)
+        if len(text) >= LEAST:
+            made += 1
+            yield text, False
+
+
+def _classes(text: str) -> int:
+    """1 for lower case, 2 for upper case, 4 for digits, summed over what the text holds."""
+    return bool(_LOWER.search(text)) + 2 * bool(_UPPER.search(text)) + 4 * bool(_DIGIT.search(text))
+
+
+_LOWER, _UPPER, _DIGIT = re.compile("[a-z]"), re.compile("[A-Z]"), re.compile("[0-9]")
 
 
 class Markov:
-    """Transition log-probabilities of random strings and ordinary identifiers, and the threshold between them."""
+    """Log-ratios of the transitions of random and of ordinary strings, and the thresholds between them.
 
-    def __init__(self, samples, smoothing: float = 0.5):
+    Every second sample is kept out of the fit and sets the thresholds, one for each length and set of classes: above
+    ``ordinary`` of the ordinary strings and as high as the share ``missed`` of random strings allows (a fifth of it where digits,
+    which words of unknown languages lack, tell them apart).
+    """
+
+    def __init__(self, samples, smoothing: float = 0.5, ordinary: float = 0.9995, missed: float = 0.04):
         n = len(SYMBOLS)
-        counts = np.full((2, n + 1, n), smoothing)           # row n: the first character
-        samples = [(s, int(label)) for s, label in samples]
-        for text, label in samples:
+        samples = [(s, bool(label)) for s, label in samples]
+        counts = {}
+        for text, label in samples[::2]:
             at = self.places(text)
-            np.add.at(counts[label], (np.concatenate([[n], at[:-1]]), at), 1)
-        logs = np.log(counts / counts.sum(axis=2, keepdims=True))
-        self.ratio = logs[1] - logs[0]
-        scores = np.array([self.score(s) for s, _ in samples])
-        labels = np.array([label for _, label in samples], bool)
-        # few ordinary names may pass: the threshold lies above 99.9 % of them
-        self.threshold = float(np.quantile(scores[~labels], 0.999)) if (~labels).any() else 0.0
+            for key in ((_classes(text), None) if label else ("ordinary",)):
+                np.add.at(counts.setdefault(key, np.zeros((n + 1, n))), (np.concatenate([[n], at[:-1]]), at), 1)
+        usual = np.log(self._rates(counts.pop("ordinary", np.zeros((n + 1, n))) + smoothing))
+        # transitions of random strings lean on the frequencies of their characters; row n: the first character
+        self.ratios = {key: np.log(self._rates(c + 0.02 + 20 * (c.sum(0) + 1e-9) / (c.sum() + n * 1e-9))) - usual for key, c in counts.items()}
+        self.ratios.setdefault(None, -np.log(n) - usual)
+        scores = {True: {}, False: {}}
+        for text, label in samples[1::2]:
+            value = self.score(text)
+            for key in (self._bin(text), None):
+                scores[label].setdefault(key, []).append(value)
+        self.thresholds = {key: float(np.quantile(values, ordinary)) for key, values in scores[False].items()}
+        self.thresholds.setdefault(None, 0.0)
+        for key, values in scores[True].items():
+            if key is not None and len(values) >= 40:
+                least = float(np.quantile(values, missed / 5 if key[1] & 4 else missed))
+                self.thresholds[key] = max(self.thresholds.get(key, self.thresholds[None]), least)
+
+    @staticmethod
+    def _rates(counts: np.ndarray) -> np.ndarray:
+        return counts / counts.sum(axis=1, keepdims=True)
+
+    @staticmethod
+    def _bin(text: str) -> tuple[int, int]:
+        return sum(len(text) >= border for border in LENGTHS), _classes(text)
 
     @staticmethod
     def places(text: str) -> np.ndarray:
@@ -78,10 +148,18 @@ class Markov:
         at = self.places(text)
         if not len(at):
             return 0.0
-        return float(self.ratio[np.concatenate([[len(SYMBOLS)], at[:-1]]), at].mean())
+        ratio = self.ratios.get(_classes(text))
+        if ratio is None:
+            ratio = self.ratios[None]
+        return float(ratio[np.concatenate([[len(SYMBOLS)], at[:-1]]), at].mean())
 
     def is_random(self, text: str) -> bool:
-        return self.score(text) > self.threshold
+        return bool(_classes(text) & 3) and len(set(text)) >= DISTINCT and not REPEAT.search(text) and self.score(text) > self.thresholds.get(self._bin(text), self.thresholds[None])
+
+
+@functools.cache
+def default_model() -> Markov:
+    return Markov(labelled_samples())
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -93,15 +171,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _uncovered(start: int, end: int, base: list, first: int = 0) -> list[tuple[int, int]]:
+    """Parts of [start, end) outside the base spans from number ``first`` on, which come sorted by their start."""
+    parts = []
+    for i in range(first, len(base)):
+        s, _, e = base[i]
+        if s >= end:
+            break
+        if e > start:
+            if s > start:
+                parts.append((start, s))
+            start = e
+    if start < end:
+        parts.append((start, end))
+    return parts
+
+
 def all_spans(text: str, model: Markov) -> tuple[list, list]:
     """(base spans, all spans) of a text."""
     base = base_spans(text)
-    more = []
+    more, first = [], 0
     for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        word = m[0]
-        if re.search("[0-9]", word) and re.search("[A-Za-z]", word) and not any(a < e and s < b for a, _, b in base) and model.is_random(word):
-            more.append((s, 3, e))
+        while first < len(base) and base[first][2] <= m.start():
+            first += 1
+        more += [(s, 3, e) for s, e in _uncovered(*m.span(), base, first) if e - s >= LEAST and model.is_random(text[s:e])]
     return base, sorted(base + more)
 
 
@@ -111,7 +204,7 @@ def _join(spans) -> str:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples=None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, n_random, base_spans, spans): spans are ``kind:start:end`` in code points."""
-    model = Markov(samples if samples is not None else labelled_samples())
+    model = Markov(samples) if samples is not None else default_model()
 
     def run(batches):
         for batch in batches:
@@ -126,7 +219,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
 
 def masked(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", length_col: str | None = "n_chars", samples=None) -> DataFrame:
     """All rows of ``docs`` with every secret span replaced; ``length_col``, if it is there, is set to the new length."""
-    model = Markov(samples if samples is not None else labelled_samples())
+    model = Markov(samples) if samples is not None else default_model()
 
     def clean(text: str | None) -> str | None:
         if text is None:

@@ -195,7 +195,7 @@ def test_likeness_is_edit_distance():
 
 
 def test_secrets(documents, edge, empty):
-    model = secrets.Markov(secrets.labelled_samples())
+    model = secrets.default_model()
     text = 'é Token = "abcdef12" x AKIA' + "Z9" * 9 + " " + "0a" * 13 + " pass ſecret=aaaaaaaa password=abc password:defghi9 " + "q8ZkX2vLw0TgY7rBn4MsPd1" + " get_item_from_list_2024 "
     base, every = secrets.all_spans(text, model)
     assert [(text[s:e], secrets.KINDS[k]) for s, k, e in base] == [
@@ -212,6 +212,42 @@ def test_secrets(documents, edge, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_secret_models_on_held_out_strings():
+    model = secrets.default_model()
+    rng = np.random.default_rng(4242)
+    for name, letters in secrets.ALPHABETS.items():
+        for length in (12, 16, 24, 40):
+            drawn = ["".join(letters[j] for j in rng.integers(0, len(letters), length)) for _ in range(400)]
+            assert np.mean([model.is_random(t) for t in drawn]) >= 0.9, (name, length)
+    ordinary = [t for t, label in secrets.labelled_samples(seed=99, number=20000) if not label]
+    assert np.mean([model.is_random(t) for t in ordinary]) <= 0.001
+    for text in ("", "123456789012345", "a" * 30, "abcdefghijklmnop", "internationalization", "/usr/share/python/libraries", "----------------"):
+        assert not model.is_random(text)
+
+
+def test_rest_of_a_token_beside_base_spans():
+    model = secrets.default_model()
+    text = "x " + "0a1b" * 7 + "/q8ZkX2vLw0TgY7r" + "+AKIA" + "Z9" * 10 + " tail"
+    base, every = secrets.all_spans(text, model)
+    assert [text[s:e] for s, k, e in base] == ["0a1b" * 7, "AKIA" + "Z9" * 10]
+    assert [text[s:e] for s, k, e in every if k == 3] == ["/q8ZkX2vLw0TgY7r+"]
+    inside = [(2, 0, 9), (4, 1, 6), (8, 2, 12)]
+    assert secrets._uncovered(0, 20, inside) == [(0, 2), (12, 20)] and secrets._uncovered(5, 7, inside) == []
+
+
+def test_base_counts_equal_sql(documents):
+    import duckdb
+    planted = " api_KEY: 'k9/x.y=z secret=ab Password=\"" + "0a" * 14 + " AKIA" + "X7" * 9 + " AKIAX1 " + "beef" * 5 + " "
+    documents = documents.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(planted), "text", F.lit(planted))).otherwise(F.col("text")))
+    frame = documents.select("doc_id", "text").toPandas()  # noqa: F841
+    word = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
+    want = duckdb.sql(f"""SELECT doc_id, len(list_filter(regexp_extract_all(text, '({word})["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda x: length(x) >= 6)),
+        len(list_filter(regexp_extract_all(text, 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20)),
+        len(list_filter(regexp_extract_all(text, '[0-9a-f]+'), lambda x: length(x) >= 24)) FROM frame""").fetchall()
+    got = secrets.scan(documents).select("doc_id", "n_assign", "n_access", "n_hex").collect()
+    assert sorted(map(tuple, got)) == sorted((i, a or 0, b or 0, c or 0) for i, a, b, c in want) and sum(r.n_hex + r.n_assign for r in got)
+
+
 def brute_passages(rows, least=50):
     """Documents that share ``least`` words in a row with another document."""
     owners = defaultdict(set)
