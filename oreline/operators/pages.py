@@ -1,48 +1,59 @@
 """Mining stored web pages ``(page_id, url, html)``.
 
-One small parser turns a page into a flat list of elements inside its row. Selectors are then
-column expressions over that list, evaluated on the JVM: a selector yields the ids of the
-matching elements, and text or attributes are cut out of the page's own columns. A page
-never leaves its row, so nothing is shuffled.
-
-Selectors are the CSS subset type, ``.class``, ``#id``, ``[attr]``, ``[attr=v]``, descendant and
-child, and the path subset ``//tag[@a='v'][contains(@a,'v')][n]/tag``. Elements nest as written:
-an unclosed tag stays open until an enclosing one closes, void tags never open.
+A page is parsed inside its row into a list of elements in document order. The selectors of a
+query are evaluated in one pass over that list: an element carries the set of selector steps that
+it, its ancestors and its earlier siblings match, as bits, so a step is decided by its neighbours
+alone and the cost grows with the page, not with elements times matches. Containers and the
+matches inside them meet in a merge of two lists in document order. Only what was asked for
+leaves the task; nothing is shuffled. Operators read ``page_id`` and ``html``, whether the table
+was parsed before or not.
+
+Selectors are CSS: type, ``.class``, ``#id``, ``[a]``, ``[a=v]``, ``[a~=v]``, ``[a^=v]``, ``[a$=v]``,
+``[a*=v]``, ``:nth-of-type(n)``, ``:first-of-type``, descendant, ``>``, ``+``, ``~`` and lists with
+commas; or the path subset ``//tag[@a='v'][contains(@a,'v')][n]/tag``. Elements nest as written: an
+unclosed tag stays open until an enclosing one closes, void tags never open. A null page has no
+elements.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 # Elements without content and elements whose content is not text.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset(("script", "style"))
 
+CHUNK = 1 << 23          # characters of pages whose results leave a task together
+
 ELEMENT = ("struct<id: int, parent: int, tag: string, nth: int, attrs: map<string,string>, anc: array<int>, "
            "t0: int, t1: int, i0: int, i1: int>")
 
 
 class _Elements(HTMLParser):
-    """Collects elements with their ancestors, and the page text with the span of each element."""
+    """Collects elements as [id, parent, tag, nth, attributes, text span, inner span, last descendant,
+    sibling before], and the page text."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.lines = [0]
         for line in html.split("\n")[:-1]:
             self.lines.append(self.lines[-1] + len(line) + 1)
-        self.items, self.open, self.same = [], [], {}
+        self.html, self.items, self.open, self.same, self.latest = html, [], [], {}, {}
         self.text, self.length, self.pending = [], 0, []
         self.feed(html)
         self.close()
         self._flush()
         while self.open:
             self._finish(len(html))
+        self.text = "".join(self.text)
 
     def _at(self):
         line, col = self.getpos()
@@ -64,7 +75,8 @@ class _Elements(HTMLParser):
         for name, value in attrs:
             pairs[name] = "" if value is None else value
         number = len(self.items)
-        self.items.append([number, parent, tag, nth, pairs, list(self.open), self.length, self.length, at, at])
+        self.items.append([number, parent, tag, nth, pairs, self.length, self.length, at, at, number, self.latest.get(parent, -1)])
+        self.latest[parent] = number
         if tag not in VOID_TAGS:
             self.open.append(number)
 
@@ -75,7 +87,7 @@ class _Elements(HTMLParser):
 
     def _finish(self, at):
         item = self.items[self.open.pop()]
-        item[7], item[9] = self.length, at
+        item[6], item[8], item[9] = self.length, at, len(self.items) - 1
 
     def handle_endtag(self, tag):
         self._flush()
@@ -93,6 +105,17 @@ class _Elements(HTMLParser):
     def handle_decl(self, decl):
         self._flush()
 
+    def value(self, number, what):
+        """``text``, ``innerHTML`` or ``@attribute`` of an element."""
+        item = self.items[number]
+        if what == "text":
+            return self.text[item[5]:item[6]]
+        return self.html[item[7]:item[8]] if what == "innerHTML" else item[4].get(what[1:])
+
+    def inside(self, found, root):
+        """The part of ``found`` (ids in document order) that lies below the root."""
+        return found[bisect_right(found, root):bisect_right(found, self.items[root][9])]
+
 
 _FIELDS = pa.struct([("id", pa.int32()), ("parent", pa.int32()), ("tag", pa.string()), ("nth", pa.int32()),
                      ("attrs", pa.map_(pa.string(), pa.string())), ("anc", pa.list_(pa.int32())),
@@ -105,8 +128,11 @@ def _parse_batches(batches):
         texts, items, ends = [], [], [0]
         for html in batch.column("html").to_pylist():
             page = _Elements(html or "")
-            texts.append("".join(page.text))
-            items += page.items
+            texts.append(page.text)
+            above = []
+            for number, parent, *rest in page.items:
+                above.append(above[parent] + [parent] if parent >= 0 else [])
+                items.append((number, parent, *rest[:3], above[number], *rest[3:7]))
             ends.append(len(items))
         columns = list(zip(*items)) or [()] * len(_FIELDS)
         arrays = [pa.array([list(a.items()) for a in c] if f.name == "attrs" else c, type=f.type) for f, c in zip(_FIELDS, columns)]
@@ -126,41 +152,56 @@ def parse(pages: DataFrame) -> DataFrame:
 @dataclass
 class Step:
     """One compound selector and how it relates to the one before it."""
-    child: bool = False
+    relation: str = " "          # " " below, ">" child, "+" next sibling, "~" later sibling; a first step with ">" is a root
     tag: str | None = None
     tests: list = field(default_factory=list)          # (kind, attribute, value)
     nth: int | None = None
 
 
-_CSS_PART = re.compile(r"""(?P<tag>[\w-]+|\*)|\.(?P<cls>[\w-]+)|\#(?P<id>[\w-]+)|\[\s*(?P<attr>[\w-]+)\s*(?:=\s*(?P<q>["']?)(?P<val>.*?)(?P=q)\s*)?\]""")
+_CSS_PART = re.compile(r"""(?P<tag>[\w-]+|\*)|\.(?P<cls>[\w-]+)|\#(?P<id>[\w-]+)|:nth-of-type\(\s*(?P<nth>\d+)\s*\)|(?P<first>:first-of-type)
+    |\[\s*(?P<attr>[\w-]+)\s*(?:(?P<op>[~^$*]?=)\s*(?P<q>["']?)(?P<val>.*?)(?P=q)\s*)?\]""", re.X)
+_CSS_TOKEN = re.compile(r"""(?:\[(?:"[^"]*"|'[^']*'|[^\]"'])*\]|\([^)]*\)|[^\s>+~,\[(])+|[>+~,]|\S""")
+_CSS_TESTS = {"=": "equal", "~=": "word", "^=": "starts", "$=": "ends", "*=": "part"}
 
 
-def css_steps(selector: str) -> list[Step]:
-    steps, child = [], False
-    for token in re.findall(r"(?:\[[^\]]*\]|[^\s>\[])+|>", selector.strip()):
-        if token == ">":
-            child = True
-            continue
-        step, end = Step(child), 0
-        for m in _CSS_PART.finditer(token):
-            if m.start() != end:
+def css_steps(selector: str) -> list[list[Step]]:
+    """The alternatives of a selector, each a list of steps."""
+    chains, steps, relation = [], [], None
+    for token in [*_CSS_TOKEN.findall(selector), ","]:
+        if token == ",":
+            if not steps or relation:
+                raise ValueError(f"empty part in selector {selector!r}")
+            chains.append(steps)
+            steps = []
+        elif token in (">", "+", "~"):
+            if relation or not steps and token != ">":
                 raise ValueError(f"unsupported selector {selector!r}")
-            end = m.end()
-            if m["tag"]:
-                step.tag = None if m["tag"] == "*" else m["tag"].lower()
-            elif m["cls"]:
-                step.tests.append(("word", "class", m["cls"]))
-            elif m["id"]:
-                step.tests.append(("equal", "id", m["id"]))
-            else:
-                step.tests.append(("has", m["attr"], None) if m["val"] is None else ("equal", m["attr"], m["val"]))
-        if end != len(token):
-            raise ValueError(f"unsupported selector {selector!r}")
-        steps.append(step)
-        child = False
-    if not steps:
-        raise ValueError("empty selector")
-    return steps
+            relation = token
+        else:
+            steps.append(_css_step(token, relation or " ", selector))
+            relation = None
+    return chains
+
+
+def _css_step(token, relation, selector):
+    step, end = Step(relation), 0
+    for m in _CSS_PART.finditer(token):
+        if m.start() != end or m["tag"] and end:
+            break
+        end = m.end()
+        if m["tag"]:
+            step.tag = None if m["tag"] == "*" else m["tag"].lower()
+        elif m["cls"]:
+            step.tests.append(("word", "class", m["cls"]))
+        elif m["id"]:
+            step.tests.append(("equal", "id", m["id"]))
+        elif m["nth"] or m["first"]:
+            step.nth = int(m["nth"] or 1)
+        else:
+            step.tests.append((_CSS_TESTS[m["op"]] if m["op"] else "has", m["attr"].lower(), m["val"]))
+    if end != len(token):
+        raise ValueError(f"unsupported selector {selector!r}")
+    return step
 
 
 _PATH_STEP = re.compile(r"(//?)([\w-]+|\*)((?:\[[^\]]*\])*)")
@@ -173,7 +214,7 @@ def path_steps(path: str) -> list[Step]:
         if m.start() != end:
             raise ValueError(f"unsupported path {path!r}")
         end = m.end()
-        step = Step(m[1] == "/", None if m[2] == "*" else m[2].lower())
+        step = Step(">" if m[1] == "/" else " ", None if m[2] == "*" else m[2].lower())
         at = 0
         for t in _PATH_TEST.finditer(m[3]):
             at = t.end()
@@ -193,134 +234,176 @@ def path_steps(path: str) -> list[Step]:
     return steps
 
 
-def _matches(e: Column, step: Step) -> Column:
-    ok = F.lit(True)
-    if step.tag:
-        ok = ok & (e["tag"] == step.tag)
-    if step.nth:
-        ok = ok & (e["nth"] == step.nth)
-    for kind, name, value in step.tests:
-        attr = e["attrs"][name]
-        if kind == "has":
-            ok = ok & attr.isNotNull()
-        elif kind == "equal":
-            ok = ok & F.coalesce(attr == value, F.lit(False))
-        elif kind == "contains":
-            ok = ok & F.coalesce(attr.contains(value), F.lit(False))
-        else:
-            ok = ok & F.coalesce(F.array_contains(F.split(attr, r"\s+"), value), F.lit(False))
-    return ok
-
+_TESTS = {
+    "has": lambda v, want: True,
+    "equal": lambda v, want: v == want,
+    "contains": lambda v, want: want in v,
+    "word": lambda v, want: want in v.split(),
+    "starts": lambda v, want: want != "" and v.startswith(want),
+    "ends": lambda v, want: want != "" and v.endswith(want),
+    "part": lambda v, want: want != "" and want in v,
+}
+
+
+def _chains(selector) -> list[list[Step]]:
+    """Alternatives of a CSS selector or a path; lists of steps are taken as they are."""
+    if not isinstance(selector, str):
+        return selector
+    return [path_steps(selector)] if selector.lstrip().startswith("/") else css_steps(selector)
+
+
+class Matcher:
+    """Evaluates several selectors in one pass over the elements of a page."""
+
+    def __init__(self, selectors):
+        self.by_tag, self.ends, bit = {}, [], 1
+        for selector in selectors:
+            end = 0
+            for steps in _chains(selector):
+                before = 0
+                for step in steps:
+                    self.by_tag.setdefault(step.tag, []).append((bit, before, step))
+                    before, bit = bit, bit << 1
+                end |= before
+            self.ends.append(end)
+
+    def __call__(self, page: _Elements) -> list[list[int]]:
+        """Ids of the matches of every selector, in document order."""
+        found = [[] for _ in self.ends]
+        own, above, left = [], [], []          # steps matched by the element, by its ancestors, by its earlier siblings
+        anything = self.by_tag.get(None, [])
+        for number, parent, tag, nth, attrs, *_, before in page.items:
+            above.append(own[parent] | above[parent] if parent >= 0 else 0)
+            left.append(own[before] | left[before] if before >= 0 else 0)
+            met = {" ": above[number], ">": own[parent] if parent >= 0 else 0, "+": own[before] if before >= 0 else 0, "~": left[number]}
+            mine = 0
+            for steps in (self.by_tag.get(tag, ()), anything):
+                for bit, needed, step in steps:
+                    if needed and not met[step.relation] & needed or not needed and step.relation == ">" and parent >= 0:
+                        continue
+                    if (step.nth is None or step.nth == nth) and all(
+                            name in attrs and _TESTS[kind](attrs[name], want) for kind, name, want in step.tests):
+                        mine |= bit
+            own.append(mine)
+            if mine:
+                for ids, end in zip(found, self.ends):
+                    if mine & end:
+                        ids.append(number)
+        return found
+
+
+def _first_inside(page, containers, found) -> dict[int, int]:
+    """First match below each container. Both lists are in document order; a container waits until a match comes
+    and leaves then: with that match if it is still open, else without."""
+    first, waiting, at = {}, [], 0
+    for number in found:
+        while at < len(containers) and containers[at] < number:
+            waiting.append(containers[at])
+            at += 1
+        first.update((c, number) for c in waiting if page.items[c][9] >= number)
+        waiting.clear()
+    return first
+
+
+_ARROW = {IntegerType(): pa.int32(), StringType(): pa.string(), ArrayType(StringType()): pa.list_(pa.string())}
+
+
+def _per_page(pages: DataFrame, emit, columns: dict) -> DataFrame:
+    """(page_id, columns): the tuples that ``emit(page)`` lists for every page."""
+    types = [_ARROW[t] for t in columns.values()]
+
+    def table(batch, at, rows):
+        cells = zip(*rows) if rows else ((),) * len(types)
+        return pa.RecordBatch.from_arrays([batch.column("page_id").take(pa.array(at, pa.int64())),
+                                           *[pa.array(c, t) for c, t in zip(cells, types)]], names=["page_id", *columns])
 
-def _steps(selector: str) -> list[Step]:
-    return path_steps(selector) if selector.lstrip().startswith("/") else css_steps(selector)
-
-
-def find(selector: str, elements="elements") -> Column:
-    """Array of the elements the selector matches, in document order."""
-    found = None
-    for step in _steps(selector):
-        found = _next(found, step, elements)
-    return found
-
-
-def _next(found: Column | None, step: Step, elements) -> Column:
-    """Elements that match the step below the elements found so far."""
-    if found is None:
-        return F.filter(elements, lambda e: _matches(e, step) & (F.lit(not step.child) | (e["parent"] == -1)))
-    def below(ids):
-        if step.child:
-            return F.filter(elements, lambda e: _matches(e, step) & F.array_contains(ids, e["parent"]))
-        return F.filter(elements, lambda e: _matches(e, step) & F.arrays_overlap(e["anc"], ids))
-    return bind(F.transform(found, lambda e: e["id"]), below)
+    def run(batches):
+        for batch in batches:
+            at, rows, size = [], [], 0
+            for i, html in enumerate(batch.column("html")):
+                html = html.as_py() or ""
+                out = emit(_Elements(html))
+                rows += out
+                at += [i] * len(out)
+                size += len(html)
+                if size > CHUNK:
+                    yield table(batch, at, rows)
+                    at, rows, size = [], [], 0
+            yield table(batch, at, rows)
 
+    schema = StructType([StructField("page_id", pages.schema["page_id"].dataType), *[StructField(n, t) for n, t in columns.items()]])
+    return pages.select("page_id", "html").mapInArrow(run, schema)
 
-def bind(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once per row, not once per lambda call."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
 
+def values(pages: DataFrame, wanted: dict[str, tuple]) -> DataFrame:
+    """One row per page with a list for every name: ``wanted`` maps it to (selector, ``text`` | ``innerHTML`` |
+    ``@attribute``). Lists are in document order; an absent attribute is NULL."""
+    matcher, kinds = Matcher([s for s, _ in wanted.values()]), [k for _, k in wanted.values()]
 
-def text_of(e: Column) -> Column:
-    """Text of an element: its stripped text runs, joined."""
-    return F.substring(F.col("text"), e["t0"] + 1, e["t1"] - e["t0"])
+    def emit(page):
+        return [tuple([page.value(i, kind) for i in ids] for ids, kind in zip(matcher(page), kinds))]
+    return _per_page(pages, emit, dict.fromkeys(wanted, ArrayType(StringType())))
 
 
-def inner_html(e: Column) -> Column:
-    return F.substring(F.col("html"), e["i0"] + 1, e["i1"] - e["i0"])
+def _listed(pages: DataFrame, selector, kind: str, name: str) -> DataFrame:
+    return values(pages, {"_v": (selector, kind)}).select("page_id", F.posexplode("_v").alias("pos", name))
 
 
-def select_text(parsed: DataFrame, selector: str) -> DataFrame:
-    """Text of every match: (page_id, pos, text)."""
-    out = F.transform(find(selector), text_of)
-    return parsed.select("page_id", F.posexplode(out).alias("pos", "text"))
+def select_text(pages: DataFrame, selector: str) -> DataFrame:
+    """Text of every match, its stripped runs joined: (page_id, pos, text)."""
+    return _listed(pages, selector, "text", "text")
 
 
-def links(parsed: DataFrame, contains: str | None = None) -> DataFrame:
+def links(pages: DataFrame, contains: str | None = None) -> DataFrame:
     """Every ``a`` with an address, optionally only those that contain a text: (page_id, pos, href)."""
-    hrefs = F.transform(find("a[href]"), lambda e: e["attrs"]["href"])
-    out = parsed.select("page_id", F.posexplode(hrefs).alias("pos", "href"))
+    out = _listed(pages, "a[href]", "@href", "href")
     return out if contains is None else out.where(F.col("href").contains(contains))
 
 
-def images(parsed: DataFrame, attribute: str = "src") -> DataFrame:
+def images(pages: DataFrame, attribute: str = "src") -> DataFrame:
     """Non-empty attribute of every image: (page_id, pos, src)."""
-    sources = F.transform(find("img"), lambda e: e["attrs"][attribute])
-    return parsed.select("page_id", F.posexplode(F.filter(sources, lambda s: s.isNotNull() & (s != ""))).alias("pos", "src"))
+    sources = values(pages, {"_v": ("img", "@" + attribute)})
+    return sources.select("page_id", F.posexplode(F.filter("_v", lambda s: s.isNotNull() & (s != ""))).alias("pos", "src"))
 
 
-def metadata(parsed: DataFrame) -> DataFrame:
+def metadata(pages: DataFrame) -> DataFrame:
     """Title, description, keywords and author of each page; NULL when absent."""
-    def meta(name):
-        return F.get(find(f"meta[name={name}]"), F.lit(0))["attrs"]["content"]
-    title = F.get(F.transform(find("title"), text_of), F.lit(0))
-    return parsed.select("page_id", title.alias("titulo"), meta("description").alias("descripcion"),
-                         meta("keywords").alias("keywords"), meta("author").alias("autor"))
-
+    found = values(pages, {"titulo": ("title", "text"), **{
+        column: (f"meta[name={name}]", "@content") for column, name in
+        (("descripcion", "description"), ("keywords", "keywords"), ("autor", "author"))}})
+    return found.select("page_id", *[F.get(c, F.lit(0)).alias(c) for c in found.columns[1:]])
 
-def _inside(matches: Column, container: Column) -> Column:
-    """The matches that lie inside the container."""
-    return F.filter(matches, lambda e: F.array_contains(e["anc"], container["id"]))
 
+def structured_list(pages: DataFrame, parent: str, fields: dict[str, str]) -> DataFrame:
+    """One row per container, one column per field selector (text of the first match inside, else NULL)."""
+    matcher = Matcher([parent, *fields.values()])
 
-def _first_text(matches: Column) -> Column:
-    return F.get(F.transform(F.slice(matches, 1, 1), text_of), F.lit(0))
+    def emit(page):
+        containers, *found = matcher(page)
+        firsts = [_first_inside(page, containers, ids) for ids in found]
+        return [(pos, *[page.value(f[c], "text") if c in f else None for f in firsts]) for pos, c in enumerate(containers)]
+    return _per_page(pages, emit, {"pos": IntegerType(), **dict.fromkeys(fields, StringType())})
 
 
-def structured_list(parsed: DataFrame, parent: str, fields: dict[str, str]) -> DataFrame:
-    """One row per container, one column per field selector (first match inside, else NULL)."""
-    found = parsed.select("page_id", "text", find(parent).alias("_c"),
-                          *[find(s).alias(f"_f{i}") for i, s in enumerate(fields.values())])
-    rows = F.transform("_c", lambda c: F.struct(*[
-        _first_text(_inside(F.col(f"_f{i}"), c)).alias(name) for i, name in enumerate(fields)]))
-    return found.select("page_id", F.posexplode(rows).alias("pos", "_r")).select("page_id", "pos", "_r.*")
-
-
-def products(parsed: DataFrame, container: str, name: str | None = None, price: str | None = None,
+def products(pages: DataFrame, container: str, name: str | None = None, price: str | None = None,
              discount: str | None = None, sold_out: str | None = None) -> DataFrame:
     """Product cards: Nombre, Precio, PrecioDescuento, Agotado ('Sí' / 'No')."""
     wanted = {"Nombre": name, "Precio": price, "PrecioDescuento": discount, "Agotado": sold_out}
-    given = {k: v for k, v in wanted.items() if v}
-    found = parsed.select("page_id", "text", find(container).alias("_c"), *[find(s).alias(f"_{k}") for k, s in given.items()])
-
-    def card(c):
-        cells = []
-        for k in wanted:
-            hit = _inside(F.col(f"_{k}"), c) if k in given else None
-            if k == "Agotado":
-                cell = F.when(F.size(hit) > 0, "Sí").otherwise("No") if hit is not None else F.lit("No")
-            else:
-                cell = _first_text(hit) if hit is not None else F.lit(None).cast("string")
-            cells.append(cell.alias(k))
-        return F.struct(*cells)
+    cards = structured_list(pages, container, {k: v for k, v in wanted.items() if v})
 
-    return found.select("page_id", F.posexplode(F.transform("_c", card)).alias("pos", "_r")).select("page_id", "pos", "_r.*")
+    def cell(k):
+        value = F.col(k) if wanted[k] else F.lit(None).cast("string")
+        return F.when(value.isNotNull(), "Sí").otherwise("No") if k == "Agotado" else value
+    return cards.select("page_id", "pos", *[cell(k).alias(k) for k in wanted])
 
 
-def attributes(parsed: DataFrame, selector: str, names: list[str]) -> DataFrame:
+def attributes(pages: DataFrame, selector: str, names: list[str]) -> DataFrame:
     """Text and the given attributes of every match; absent attributes are NULL."""
-    rows = F.transform(find(selector), lambda e: F.struct(
-        text_of(e).alias("texto"), *[e["attrs"][n].alias(n) for n in names]))
-    return parsed.select("page_id", F.posexplode(rows).alias("pos", "_r")).select("page_id", "pos", "_r.*")
+    matcher = Matcher([selector])
+
+    def emit(page):
+        return [(pos, page.value(i, "text"), *[page.value(i, "@" + n) for n in names]) for pos, i in enumerate(matcher(page)[0])]
+    return _per_page(pages, emit, {"pos": IntegerType(), "texto": StringType(), **dict.fromkeys(names, StringType())})
 
 
 def zip_padded(df: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
@@ -330,61 +413,57 @@ def zip_padded(df: DataFrame, keys: list[str], columns: dict[str, Column]) -> Da
             .select(*keys, "pos", *[F.col("_z")[n].alias(n) for n in columns]))
 
 
-def text_columns(parsed: DataFrame, groups: dict[str, tuple]) -> DataFrame:
+def value_columns(pages: DataFrame, wanted: dict[str, tuple]) -> DataFrame:
+    """The lists of ``values`` side by side, padded: (page_id, pos, columns)."""
+    return zip_padded(values(pages, wanted), ["page_id"], {n: F.col(n) for n in wanted})
+
+
+def text_columns(pages: DataFrame, groups: dict[str, tuple]) -> DataFrame:
     """Several element groups as columns: ``groups`` maps a name to (tag, {attribute: value})."""
     def group(tag, attrs):
-        step = Step(False, tag, [("word" if k == "class" and " " not in v else "equal", k, v) for k, v in (attrs or {}).items()])
-        return F.transform(F.filter("elements", lambda e: _matches(e, step)), text_of)
-    return zip_padded(parsed, ["page_id"], {n: group(*g) for n, g in groups.items()})
+        return [[Step(" ", tag, [("word" if k == "class" and " " not in v else "equal", k, v) for k, v in (attrs or {}).items()])]]
+    return value_columns(pages, {n: (group(*g), "text") for n, g in groups.items()})
 
 
-def path_values(parsed: DataFrame, path: str, attribute: str | None = None) -> DataFrame:
+def path_values(pages: DataFrame, path: str, attribute: str | None = None) -> DataFrame:
     """Text (default), ``innerHTML`` or an attribute of every match of a path query."""
-    def value(e):
-        if attribute is None:
-            return text_of(e)
-        return inner_html(e) if attribute == "innerHTML" else e["attrs"][attribute]
-    return parsed.select("page_id", F.posexplode(F.transform(find(path), value)).alias("pos", "value"))
+    kind = "text" if attribute is None else attribute if attribute == "innerHTML" else "@" + attribute
+    return _listed(pages, path, kind, "value")
 
 
-def rendered_products(parsed: DataFrame, names: str, prices: str, discounts: str | None = None) -> DataFrame:
+def rendered_products(pages: DataFrame, names: str, prices: str, discounts: str | None = None) -> DataFrame:
     """Name, price and discount lists of rendered pages, padded, with the page number ``Pagina``."""
-    columns = {"Nombre": F.transform(find(names), text_of), "Precio": F.transform(find(prices), text_of)}
+    wanted = {"Nombre": (names, "text"), "Precio": (prices, "text")}
     if discounts:
-        columns["Descuento"] = F.transform(find(discounts), text_of)
-    return zip_padded(parsed, ["page_id"], columns).withColumnRenamed("page_id", "Pagina")
+        wanted["Descuento"] = (discounts, "text")
+    return value_columns(pages, wanted).withColumnRenamed("page_id", "Pagina")
 
 
-def page_total(parsed: DataFrame, path: str, attribute: str = "href") -> DataFrame:
+def page_total(pages: DataFrame, path: str, attribute: str = "href") -> DataFrame:
     """Largest integer in the attribute of the pagination links of each page."""
-    values = F.transform(find(path), lambda e: e["attrs"][attribute])
-    digits = F.flatten(F.transform(values, lambda v: F.regexp_extract_all(F.coalesce(v, F.lit("")), F.lit(r"\d+"), F.lit(0))))
-    return parsed.select("page_id", F.array_max(F.transform(digits, lambda d: d.try_cast("bigint"))).alias("total"))
+    digits = F.flatten(F.transform("_v", lambda v: F.regexp_extract_all(F.coalesce(v, F.lit("")), F.lit(r"\d+"), F.lit(0))))
+    return values(pages, {"_v": (path, "@" + attribute)}).select(
+        "page_id", F.array_max(F.transform(digits, lambda d: d.try_cast("bigint"))).alias("total"))
 
 
-def table_cells(parsed: DataFrame, selector: str = "table", index: int = 0) -> DataFrame:
+def table_cells(pages: DataFrame, selector: str = "table", index: int = 0) -> DataFrame:
     """Cells of the index-th table of each page: (page_id, row, col, header, text).
 
     Headers come from ``thead``; rows from ``tbody`` when there is one, else from the table.
     """
-    found = parsed.select("page_id", "text", "elements", F.get(find(selector), F.lit(index)).alias("_t")).where("_t IS NOT NULL")
-
-    def within(kind, root):
-        return bind(root["id"], lambda top: F.filter("elements", lambda e: kind(e) & F.array_contains(e["anc"], top)))
-
-    tag = lambda *names: (lambda e: e["tag"].isin(*names))
-    parts = found.withColumns({
-        "_head": F.get(within(tag("thead"), F.col("_t")), F.lit(0)),
-        "_body": F.coalesce(F.get(within(tag("tbody"), F.col("_t")), F.lit(0)), F.col("_t"))})
-    parts = parts.withColumns({
-        "_names": F.when(F.col("_head").isNotNull(), F.transform(within(tag("th"), F.col("_head")), text_of)),
-        "_cells": within(tag("td", "th"), F.col("_body")),
-        "_rows": within(tag("tr"), F.col("_body"))})
-    rows = F.filter(F.transform("_rows", lambda r: F.transform(
-        F.filter("_cells", lambda c: F.array_contains(c["anc"], r["id"])), text_of)), lambda cells: F.size(cells) > 0)
-    long = parts.select("page_id", "_names", F.posexplode(rows).alias("row", "_r")).select(
-        "page_id", "_names", "row", F.posexplode("_r").alias("col", "text"))
-    return long.select("page_id", "row", "col", F.get("_names", F.col("col")).alias("header"), "text")
+    matcher = Matcher([selector, "thead", "tbody", "th", "td, th", "tr"])
+
+    def emit(page):
+        tables, heads, bodies, names, cells, rows = matcher(page)
+        if index >= len(tables):
+            return []
+        top = tables[index]
+        head, body = page.inside(heads, top)[:1], (page.inside(bodies, top) or [top])[0]
+        header = [page.value(i, "text") for i in page.inside(names, head[0])] if head else []
+        filled = [line for line in (page.inside(cells, r) for r in page.inside(rows, body)) if line]
+        return [(row, col, header[col] if col < len(header) else None, page.value(i, "text"))
+                for row, line in enumerate(filled) for col, i in enumerate(line)]
+    return _per_page(pages, emit, {"row": IntegerType(), "col": IntegerType(), "header": StringType(), "text": StringType()})
 
 
 def map_pages(pages: DataFrame, fn, schema: str) -> DataFrame:

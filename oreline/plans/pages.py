@@ -12,7 +12,7 @@ from .registry import query
 
 
 def stored(spark, sf):
-    return H.parse(table(spark, sf, "pages"))
+    return table(spark, sf, "pages")
 
 
 def shop(spark, sf):
@@ -33,16 +33,21 @@ def shop(spark, sf):
         F.col("page_id") + 7, F.lit("\">&gt;</a></nav><main>"), F.array_join(F.transform("_c", lambda c: c["card"]), "\n"),
         F.lit("</main><table><thead><tr><th>id</th><th> name</th><th>size</th></tr></thead><tbody>"),
         F.array_join(F.transform("_c", lambda c: c["row"]), ""), F.lit("</tbody></table></body></html>"))
-    return H.parse(grouped.select("page_id", F.concat(F.lit("https://shop.example.org/?page="), "page_id").alias("url"), html.alias("html")))
+    return grouped.select("page_id", F.concat(F.lit("https://shop.example.org/?page="), "page_id").alias("url"), html.alias("html"))
 
 
 _PART = "p_partkey // 20 AS page_id, CAST(p_partkey % 20 AS INTEGER) AS pos"
 _PRICE = "'$' || format('{:t,.2f}', round(p_retailprice * 10, 2))"
 
 
-@query("src7_parsed_pages", "SELECT page_id, url, length(html) > 0 AS filled FROM pages")
+@query("src7_parsed_pages",
+       "SELECT page_id, url, len(regexp_extract_all(html, '<a href')) AS links, len(regexp_extract_all(html, '<li>')) AS items, "
+       "CAST(list_aggregate(list_transform(regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a>', 1), lambda t: length(t)), 'sum') AS BIGINT) AS item_chars FROM pages")
 def parsed_pages(spark, sf):
-    return stored(spark, sf).select("page_id", "url", (F.size("elements") > 0).alias("filled"))
+    parsed = H.parse(stored(spark, sf))
+    tagged = lambda tag: F.filter("elements", lambda e: e["tag"] == tag)
+    chars = F.aggregate(tagged("li"), F.lit(None).cast("long"), lambda n, e: F.coalesce(n, F.lit(0)) + e["t1"] - e["t0"])
+    return parsed.select("page_id", "url", F.size(tagged("a")).cast("long").alias("links"), F.size(tagged("li")).cast("long").alias("items"), chars.alias("item_chars"))
 
 
 @query("src9_html_tables", "SELECT p_partkey // 20 AS page_id, CAST(p_partkey % 20 AS INTEGER) AS \"row\", CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_size AS VARCHAR) AS size FROM part")
@@ -124,8 +129,8 @@ def text_columns(spark, sf):
 
 @query("jn8_zip_padded", _ZIP + "SELECT n.page_id, CAST(n.pos AS INTEGER) AS pos, p_name AS a, offer AS b FROM n LEFT JOIN o ON n.page_id = o.page_id AND n.pos = o.pos")
 def zip_padded(spark, sf):
-    parsed = shop(spark, sf)
-    return H.zip_padded(parsed, ["page_id"], {"a": F.transform(H.find("h2"), H.text_of), "b": F.transform(H.find("em"), H.text_of)})
+    lists = H.values(shop(spark, sf), {"a": ("h2", "text"), "b": ("em", "text")})
+    return H.zip_padded(lists, ["page_id"], {"a": F.col("a"), "b": F.col("b")})
 
 
 @query("jn7_child_under_parent", f"SELECT {_PART}, p_name AS nombre FROM part")
