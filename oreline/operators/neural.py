@@ -1,19 +1,29 @@
 """Data-parallel multilayer perceptrons and a random-feature support vector regressor.
 
-Weights travel to the tasks, each task answers with one row of sums for its rows, and the sums
-are added in a tree of tasks. The driver keeps weights and optimizer state only.
+Full-data gradients: weights travel to the tasks, each task answers with one row of sums for its
+rows, and the sums are added in a tree of tasks. Mini-batches: the rows are stored in blocks of a
+random order that depends on the rows alone; every block takes the steps of a pass by itself and
+the blocks' states are averaged after it. The driver keeps weights and optimizer state only.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.hashing import HASH_RANGE, hash32
+from ..session import materialize, shuffle_width
 from . import metrics as M
 from . import scale as S
+from .ranking import number_rows
 
+BLOCK_VALUES = 1 << 20   # numbers of a block of training rows; smaller tables are one block
+STAGE_PASSES = 100       # passes over a table of one block in one job
+COPIES = 1 << 12
 TREE_WIDTH = 32          # partial sums are folded on the cluster down to this many rows
 
 
@@ -112,30 +122,96 @@ def count_rows(df: DataFrame) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def _adam_epoch(df, parts, flat, m, v, steps, gradient, batch, rate, seed):
-    """One pass over the rows: every task runs mini-batch Adam from the shared state over its
-    own rows; states are averaged by row count."""
-    size = len(flat)
-
-    def partial(blocks):
-        w, m1, v1, t, seen = flat.copy(), m.copy(), v.copy(), steps, 0
-        rng = np.random.default_rng(seed)
-        for x, y in blocks:
-            order = rng.permutation(len(x))
-            for at in range(0, len(x), batch):
-                pick = order[at:at + batch]
-                g = gradient(x[pick], y[pick], w) / len(pick)
-                t += 1
-                m1, v1 = 0.9 * m1 + 0.1 * g, 0.999 * v1 + 0.001 * g * g
-                w = w - rate * (m1 / (1 - 0.9 ** t)) / (np.sqrt(v1 / (1 - 0.999 ** t)) + 1e-8)
-            seen += len(x)
-        if not seen:
-            return None
-        return np.concatenate([w * seen, m1 * seen, v1 * seen, [seen, (t - steps) * seen]])
-
-    total = tree_sum(df, partial, parts)
-    n = total[-2]
-    return total[:size] / n, total[size:2 * size] / n, total[2 * size:3 * size] / n, steps + max(1, int(total[-1] / n))
+def training_blocks(rows: DataFrame, width: int, seed: int) -> DataFrame:
+    """(block, x, y): the rows in a random order that depends on their values and the seed alone, in even blocks of at
+    most BLOCK_VALUES numbers, one row per block.
+
+    Equal rows are counted and numbered again, so a frequent row is spread like others and never sorted in one task.
+    """
+    counted = rows.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    # copies are numbered in two steps, so no array grows with the count of one row
+    spans = counted.select("x", "y", "n", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / COPIES).cast("bigint"))).alias("span"))
+    copies = spans.select("x", "y", F.explode(F.sequence(F.col("span") * COPIES, F.least((F.col("span") + 1) * COPIES, "n") - 1)).alias("copy"))
+    drawn = copies.withColumn("h", hash32(F.xxhash64("x", "y", "copy"), seed))
+    cell = F.floor(F.col("h") * (4 * shuffle_width(rows.sparkSession)) / F.lit(HASH_RANGE))
+    numbered = number_rows(drawn, [], cell, ["h", "x", "y", "copy"], total="rows")
+    blocks = F.ceil(F.col("rows") / max(1, BLOCK_VALUES // (width + 1)))
+    dealt = numbered.select(F.expr("(pos - 1)").alias("at"), "rows", blocks.alias("blocks"), F.struct("pos", "x", "y").alias("r"))
+    lists = dealt.groupBy(F.floor(F.col("at") * F.col("blocks") / F.col("rows")).alias("block")).agg(F.array_sort(F.collect_list("r")).alias("r"))
+    return lists.select("block", F.flatten("r.x").alias("x"), F.col("r.y").alias("y"))
+
+
+@dataclass
+class AdamState:
+    """Optimizer state between stages. ``epoch`` counts whole passes, ``stale`` those without progress."""
+    flat: np.ndarray
+    m: np.ndarray
+    v: np.ndarray
+    t: int = 0
+    epoch: int = 0
+    best: float = np.inf
+    stale: int = 0
+    loss: float = np.inf            # Arrow would turn NaN into NULL
+
+    def step(self, g, rate):
+        self.t += 1
+        self.m = 0.9 * self.m + 0.1 * g
+        self.v = 0.999 * self.v + 0.001 * g * g
+        self.flat = self.flat - rate * (self.m / (1 - 0.9 ** self.t)) / (np.sqrt(self.v / (1 - 0.999 ** self.t)) + 1e-8)
+
+    def end_pass(self, loss, tol):
+        self.epoch, self.loss = self.epoch + 1, loss
+        self.stale = 0 if loss < self.best - tol else self.stale + 1
+        self.best = min(loss, self.best)
+
+    def packed(self):
+        return np.concatenate([self.flat, self.m, self.v, [self.t, self.epoch, self.best, self.stale, self.loss]])
+
+    @classmethod
+    def unpacked(cls, row):
+        flat, m, v = np.split(row[:-5], 3)
+        t, epoch, best, stale, loss = row[-5:]
+        return cls(flat, m, v, round(t), round(epoch), best, round(stale), loss)
+
+
+def _ordered_sum(df: DataFrame, blocks: int) -> np.ndarray:
+    """Sum of the vectors of (block, v) in the order of the blocks, folded on the cluster down to TREE_WIDTH rows."""
+    def fold(pdf):
+        pdf = pdf.sort_values("block")
+        return pd.DataFrame({"block": [pdf["block"].iloc[0] // TREE_WIDTH], "v": [np.sum(np.stack(pdf["v"].to_numpy()), axis=0)]})
+    while blocks > TREE_WIDTH:
+        df = df.groupBy((F.col("block") / TREE_WIDTH).cast("bigint")).applyInPandas(fold, "block bigint, v array<double>")
+        blocks = -(-blocks // TREE_WIDTH)
+    return np.sum([r["v"] for r in sorted(df.collect(), key=lambda r: r["block"])], axis=0)
+
+
+def adam_passes(blocks: DataFrame, count: int, state: AdamState, passes: int, gradient, batch: int, rate: float, seed: int,
+                stop=None) -> tuple[AdamState, float]:
+    """``passes`` passes of mini-batch Adam from the same state in every block; states are averaged by rows at the end.
+
+    Batches are drawn from (seed, pass, block), so the weights depend on the rows only, not on partitions or tasks.
+    ``gradient(x, y, w)`` gives (summed loss, summed gradient). With one block, ``stop(state, summed loss)`` closes a
+    pass and says whether to end. Returns the state and the summed loss of the last pass.
+    """
+    def run(batches):
+        for pdf in batches:
+            for block, x, y in zip(pdf["block"], pdf["x"], pdf["y"]):
+                x, y = np.asarray(x, float).reshape(len(y), -1), np.asarray(y, float)
+                now, total = replace(state), 0.0
+                for number in range(state.epoch, state.epoch + passes):
+                    order, total = np.random.default_rng([seed, number, block]).permutation(len(y)), 0.0
+                    for at in range(0, len(y), batch):
+                        pick = order[at:at + batch]
+                        loss, g = gradient(x[pick], y[pick], now.flat)
+                        total += loss
+                        now.step(g / len(pick), rate)
+                    if stop and stop(now, total):
+                        break
+                yield pd.DataFrame({"block": [block], "v": [np.concatenate([now.packed() * len(y), [total, len(y)]])]})
+
+    added = _ordered_sum(blocks.mapInPandas(run, "block bigint, v array<double>"), count)
+    merged = AdamState.unpacked(added[:-2] / added[-1])
+    return (merged if stop else replace(merged, epoch=state.epoch, best=state.best, stale=state.stale)), added[-2]
 
 
 def _lbfgs(value_and_gradient, start, iterations, memory=10, tol=1e-5):
@@ -199,8 +275,10 @@ def _as_array(df, column="features"):
 class Mlp:
     """Perceptron with relu or tanh layers; softmax / sigmoid head for classes, linear for values.
 
-    ``solver='adam'`` runs ``max_iter`` passes of mini-batches, averaged across tasks after each
-    pass; ``'lbfgs'`` uses exact full-data gradients.
+    ``solver='adam'`` runs up to ``max_iter`` passes of mini-batches and ends after ``patience`` passes whose mean loss
+    did not improve by ``tol``. Tables of up to BLOCK_VALUES numbers are one block and take the steps of plain Adam;
+    larger ones are averaged over their blocks after each pass. Weights are the same for every layout of the input.
+    ``'lbfgs'`` uses exact full-data gradients.
     """
 
     def __init__(self, layers=(100, 50), activation="relu", solver="adam", max_iter=500, task="classification", batch=200,
@@ -224,43 +302,57 @@ class Mlp:
             head, out = ("sigmoid", 1) if self.binary_head and len(classes) == 2 else ("softmax", len(classes))
             position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("y")) - 1
             rows = rows.withColumn("y", position.cast("double"))
-        rows = rows.persist()
-        n, parts = count_rows(rows)
         sizes = [width, *self.layers, out]
-        shapes, activation, penalty = layer_shapes(sizes), self.activation, self.penalty
-        mask = _pack([np.full(s, 1.0 if len(s) == 2 else 0.0) for s in shapes])
-        flat, best, stale, loss = initial_weights(sizes, activation, self.seed), np.inf, 0, np.nan
+        shapes, activation = layer_shapes(sizes), self.activation
+        flat = initial_weights(sizes, activation, self.seed)
+        mask = self.penalty * _pack([np.full(s, 1.0 if len(s) == 2 else 0.0) for s in shapes])
+        fit = self._fit_lbfgs if self.solver == "lbfgs" else self._fit_adam
+        flat, loss = fit(rows, width, flat, mask, lambda x, y, w: loss_and_gradient(x, y, w, shapes, activation, head))
+        return MlpModel(flat, shapes, activation, head, classes, loss)
 
-        def batch_gradient(x, y, w):
-            return loss_and_gradient(x, y, w, shapes, activation, head)[1] + penalty * mask * w * len(x) / n
+    def _fit_lbfgs(self, rows, width, flat, mask, gradient):
+        rows = rows.persist()
+        n, parts = count_rows(rows)
 
         def full(w):
             def partial(blocks):
                 total = None
                 for x, y in blocks:
-                    loss, g = loss_and_gradient(x, y, w, shapes, activation, head)
+                    loss, g = gradient(x, y, w)
                     one = np.concatenate([[loss], g])
                     total = one if total is None else total + one
                 return total
             total = tree_sum(rows, partial, parts)
-            return total[0] / n + 0.5 * penalty * (mask * w * w).sum() / n, total[1:] / n + penalty * mask * w / n
+            return total[0] / n + 0.5 * (mask * w * w).sum() / n, total[1:] / n + mask * w / n
 
         try:
-            if self.solver == "lbfgs":
-                flat = _lbfgs(full, flat, self.max_iter)
-                loss = full(flat)[0]
-            else:
-                m, v, t = np.zeros_like(flat), np.zeros_like(flat), 0
-                for epoch in range(self.max_iter):
-                    flat, m, v, t = _adam_epoch(rows, parts, flat, m, v, t, batch_gradient, self.batch, self.rate, self.seed + epoch)
-                    if (epoch + 1) % self.patience == 0:
-                        loss = full(flat)[0]
-                        if loss > best - self.tol:
-                            break
-                        best = loss
+            flat = _lbfgs(full, flat, self.max_iter)
+            return flat, full(flat)[0]
         finally:
             rows.unpersist()
-        return MlpModel(flat, shapes, activation, head, classes, loss)
+
+    def _fit_adam(self, rows, width, flat, mask, gradient):
+        blocks = materialize(training_blocks(rows, width, self.seed))
+        count, n = blocks.agg(F.count(F.lit(1)), F.sum(F.size("y"))).first()
+        tol, patience = self.tol, self.patience
+        state = AdamState(flat, np.zeros_like(flat), np.zeros_like(flat))
+
+        def penalized(x, y, w):
+            loss, g = gradient(x, y, w)
+            return loss, g + mask * w * len(y) / n
+
+        def closed(state, total):
+            state.end_pass(total / n + 0.5 * (mask * state.flat * state.flat).sum() / n, tol)
+            return state.stale >= patience
+
+        while state.epoch < self.max_iter and state.stale < patience:
+            if count == 1:
+                passes = min(STAGE_PASSES, self.max_iter - state.epoch)
+                state, _ = adam_passes(blocks, count, state, passes, penalized, self.batch, self.rate, self.seed, closed)
+            else:
+                state, total = adam_passes(blocks, count, state, 1, penalized, self.batch, self.rate, self.seed)
+                closed(state, total)
+        return state.flat, state.loss
 
 
 class KernelSvr:

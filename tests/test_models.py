@@ -204,6 +204,42 @@ def test_networks_learn(spark):
     assert out.agg(F.min("accuracy")).first()[0] > 0.8
 
 
+def test_adam_weights_do_not_depend_on_the_layout(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(420, 2)).round(2).tolist() + [[0.5, 0.25]] * 180          # one row is repeated 180 times
+    rows = [(v, float(v[0] * v[1] > 0)) for v in x]
+    df = spark.createDataFrame(rows, "features array<double>, label double")
+
+    def weights(frame):
+        return NN.Mlp((12, 6), "relu", "adam", 4, batch=100, rate=0.01, patience=99).fit(frame).flat
+
+    def same(a, b):
+        return np.allclose(a, b, rtol=0, atol=1e-12)          # the order of sums inside a matrix product is not ours
+
+    one = weights(df.repartition(1))
+    assert same(one, weights(df.repartition(3))) and same(one, weights(df.orderBy("label").repartition(8)))
+    monkeypatch.setattr(NN, "BLOCK_VALUES", 45)               # 40 blocks of 15 rows, folded in two levels
+    cut = weights(df.repartition(1))
+    assert same(cut, weights(df.repartition(8))) and not same(cut, one)
+
+
+def test_adam_equals_a_plain_loop(spark):
+    """Full batches of one block: the same steps as Adam written out."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(24, 2))
+    y = x[:, 0] - 2 * x[:, 1]
+    df = spark.createDataFrame([(v.tolist(), float(t)) for v, t in zip(x, y)], "features array<double>, label double")
+    model = NN.Mlp((5,), "tanh", "adam", 30, "regression", batch=24, penalty=0.0, patience=99).fit(df)
+    shapes = NN.layer_shapes([2, 5, 1])
+    w = NN.initial_weights([2, 5, 1], "tanh", 42)
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    for t in range(1, 31):
+        g = NN.loss_and_gradient(x, y, w, shapes, "tanh", "linear")[1] / len(y)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 0.001 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+    assert np.allclose(model.flat, w, atol=1e-9)
+
+
 def test_support_vector_regression_fits_a_curve(spark):
     x = np.linspace(-3, 3, 200)
     df = spark.createDataFrame([(i, float(np.sin(v)), float(v)) for i, v in enumerate(x)], "row_id bigint, label double, a double")
