@@ -7,7 +7,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import materialize
 from . import neighbors as N
 from . import scale as S
+from .boosting import Boosted
 
 MAX_DEPTH = 30           # deepest tree the tree learners accept; stands for "unlimited"
 
@@ -122,10 +123,9 @@ def random_forest(p: dict):
 
 
 def gradient_boosting(p: dict):
-    """Boosted trees; one binary model per class, which also covers two classes."""
-    one = GBTClassifier(maxIter=int(p.get("n_estimators", 100)), maxDepth=_depth(p, 3), stepSize=float(p.get("learning_rate", 0.1)),
-                        minInstancesPerNode=_leaf(p), seed=p.get("seed", 42))
-    return OneVsRest(classifier=one, parallelism=int(p.get("parallelism", 4)))
+    """Boosted trees, one multinomial model for all classes."""
+    return Boosted(int(p.get("n_estimators", 100)), p.get("max_depth", 3), float(p.get("learning_rate", 0.1)),
+                   int(p.get("min_samples_split", 2)), int(p.get("min_samples_leaf", 1)))
 
 
 def ada_boost(p: dict):

@@ -15,6 +15,7 @@ from ..operators import neighbors as N
 from ..operators import resample as R
 from ..operators import scale as S
 from ..operators import split as P
+from ..operators.boosting import Boosted
 from ..sources.tables import table
 from .profiles import rounded
 from .registry import query
@@ -279,6 +280,39 @@ def gradient_boosting(spark, sf):
     return _classified(spark, sf, L.gradient_boosting, {"n_estimators": 5}, scale=False)
 
 
+_STEPS = "z AS (SELECT row_id, label, " + ", ".join(f"round(8 * log2(1 + {c})) AS {c}" for c in DOC_FEATURES) + " FROM f), "
+_LONG = "x AS (" + " UNION ALL ".join(f"SELECT row_id, {i} AS f, {c} AS x FROM z" for i, c in enumerate(DOC_FEATURES)) + "), "
+
+
+def _grown_sql(level):
+    """CTEs that part every open node of all classes' trees once more."""
+    at = f"t{level}"
+    return (f"a{level} AS (SELECT c, path, f, x, count(*) * any_value(u) AS w, count(*) AS n, sum(g) AS g FROM {at} JOIN x USING (row_id) WHERE length(path) = {level} GROUP BY 1, 2, 3, 4), "
+            f"s{level} AS (SELECT *, sum(w) OVER r AS wl, sum(g) OVER r AS gl, sum(w) OVER a AS wa, sum(g) OVER a AS ga FROM a{level} "
+            "WINDOW r AS (PARTITION BY c, path, f ORDER BY x), a AS (PARTITION BY c, path, f)), "
+            f"e{level} AS (SELECT *, gl / wl - (ga - gl) / (wa - wl) AS apart FROM s{level} WHERE wa > wl), "
+            f"b{level} AS (SELECT c, path, f AS bf, x AS bx FROM e{level} WHERE abs(apart) > 1e-9 "
+            "QUALIFY row_number() OVER (PARTITION BY c, path ORDER BY wl * (wa - wl) / wa * apart * apart DESC, f, x) = 1), "
+            f"t{level + 1} AS (SELECT row_id, c, path || CASE WHEN bf IS NULL THEN '' WHEN x > bx THEN 'R' ELSE 'L' END AS path, g, h, u "
+            f"FROM {at} LEFT JOIN b{level} USING (c, path) LEFT JOIN x USING (row_id) WHERE bf IS NULL AND (x.f = 0) OR x.f = bf), ")
+
+
+@query("cls4_first_trees",
+       f"WITH {_L}, {_F}, {_STEPS}{_LONG}"
+       "p AS (SELECT label AS c, count(*) / (SELECT count(*) FROM z) AS p FROM z GROUP BY label), "
+       "v AS (SELECT pow(2, least(36, 61 - ceil(log2(count(*) + 1)))) AS u FROM z), "
+       "t0 AS (SELECT row_id, c, '' AS path, round((CASE WHEN label = c THEN 1 ELSE 0 END - p) * u) AS g, round(p * (1 - p) * u) AS h, u FROM z, p, v), "
+       + _grown_sql(0) + _grown_sql(1) +
+       "k AS (SELECT count(*) AS k FROM p) "
+       "SELECT c :: DOUBLE AS label, path, count(*) AS n_rows, round(0.1 * (any_value(k) - 1) / any_value(k) * sum(g) / sum(h), 6) AS value FROM t2, k GROUP BY c, path")
+def first_trees(spark, sf):
+    """Leaves of the first round's trees of depth 2, one tree per class; the features are rounded logarithms."""
+    docs = documents(spark, sf)
+    steps = F.array(*[F.round(8 * F.log2(1 + F.col(c))) for c in DOC_FEATURES])
+    model = Boosted(1, 2).fit(docs.select(steps.alias("features"), "label"))
+    return rounded(spark.createDataFrame(model.leaves(), "round int, label double, path string, n_rows bigint, value double").drop("round"))
+
+
 @query("cls5_ada_boost")
 def ada_boost(spark, sf):
     return _classified(spark, sf, L.ada_boost, {"n_estimators": 8}, scale=False)
