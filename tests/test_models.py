@@ -67,14 +67,13 @@ def test_balancing(spark):
 
 @pytest.mark.parametrize("copies", [False, True])
 def test_neighbours_equal_brute_force(spark, monkeypatch, copies):
-    monkeypatch.setattr(N, "CELL_ROWS", 20)
     monkeypatch.setattr(N, "POINT_BLOCK", 16)
     monkeypatch.setattr(N, "QUERY_BLOCK", 16)
     x = np.random.default_rng(1).normal(size=(150, 3))
     if copies:
         x[:60] = x[0]                  # a third and more of the rows are one point
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "pid bigint, x array<double>")
-    got = N.nearest(df.withColumnRenamed("pid", "qid"), df, 4, same_rows=True).collect()
+    got = N.nearest(df.withColumnRenamed("pid", "qid"), df, 4, same_rows=True, leaf_rows=20).collect()
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
     assert len(got) == 600
     for r in got:

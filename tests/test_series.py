@@ -80,7 +80,7 @@ def test_periodogram_in_blocks(spark, monkeypatch):
     series = make(spark, np.random.default_rng(2).normal(size=61))
     want = [r.spec for r in P.periodogram(series).orderBy("k").collect()]
     monkeypatch.setattr(P, "SHORT", 10)
-    monkeypatch.setattr(P, "BLOCK", 9)
+    monkeypatch.setattr(P, "TILE", 9)
     assert np.allclose(want, [r.spec for r in P.periodogram(series).orderBy("k").collect()])
 
 
