@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..session import shuffle_width
-from .ranking import number_rows
+from ..session import materialize
 
 SKETCH_ACCURACY = 2_000
+GROUP_VALUES = 100_000   # distinct values of a group (or of a bracket of it) that one task sorts
+CUTS = 32                # parts a bracket is cut into
 
 
 def present(column: str):
@@ -86,33 +87,57 @@ def _narrowed(values: DataFrame, probs, limit) -> list[float]:
     return list(row)
 
 
-def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
-    """Quantiles per group: (keys, p1, p2, ...). Equal values are folded before they move,
-    and a large group is cut in value slices."""
-    x = F.col(value).cast("double")
-    slices = 4 * shuffle_width(df.sparkSession)
-    ends = df.agg(F.min(x), F.max(x)).first()
-    lo, width = (ends[0] or 0.0), max(((ends[1] or 0.0) - (ends[0] or 0.0)) / slices, 1e-300)
-    folded = df.where(x.isNotNull()).groupBy(*keys, x.alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
-    cell = F.floor((F.col("_x") - lo) / width)
-    tagged = folded.withColumn("_cell", cell)
-    inside = W.partitionBy(*keys, "_cell").orderBy("_x")
-    counts = tagged.groupBy(*keys, "_cell").agg(F.sum("_c").alias("_w"))
-    along = W.partitionBy(*keys).orderBy("_cell")
-    before = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_cell").alias("_bc"),
-                           (F.sum("_w").over(along) - F.col("_w")).alias("_before"),
-                           F.sum("_w").over(W.partitionBy(*keys)).alias("_n"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    run = (tagged.withColumn("_run", F.sum("_c").over(inside))
-           .join(before, [*cond, F.col("_cell") == F.col("_bc")]))
-    # value _x occupies the 0-based ranks [first, last]
-    last = F.col("_before") + F.col("_run") - 1
-    first = last - F.col("_c") + 1
-    aggs = []
-    for i, p in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        lower = F.max(F.when((first <= F.floor(h)) & (last >= F.floor(h)), F.col("_x")))
-        upper = F.max(F.when((first <= F.ceil(h)) & (last >= F.ceil(h)), F.col("_x")))
-        frac = F.max(h - F.floor(h))
-        aggs.append((lower + (upper - lower) * frac).alias(f"p{i + 1}"))
-    return run.groupBy(*keys).agg(*aggs)
+def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], limit: int = GROUP_VALUES) -> DataFrame:
+    """Exact interpolated quantiles per group: (keys, p1, p2, ...). Null and NaN values are ignored, groups without others left out.
+
+    Equal values are folded before they move. A group of up to ``limit`` distinct values is sorted in one task. For larger
+    groups each wanted rank keeps a bracket of values, and all brackets of all groups are narrowed by the same passes: a
+    sketch cuts a bracket in ``CUTS`` parts, the parts are counted, and those that hold the rank stay.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    values = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], present(value).alias("_x")).where("_x IS NOT NULL")
+    folded = materialize(values.groupBy(*names, "_x").agg(F.count(F.lit(1)).alias("_c")))
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    groups = (folded.groupBy(*names).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_m"))
+              .select(*names, "_m", "_n", F.explode(ranks).alias("r"))
+              .select(*names, "_m", F.col("r.i").alias("_i"), ((F.col("_n") - 1) * F.col("r.p")).alias("_h"),
+                      F.lit(float("-inf")).alias("_lo"), F.lit(float("inf")).alias("_hi"), F.lit(0).cast("bigint").alias("_below")))
+    brackets = materialize(groups)
+    while (brackets.agg(F.max("_m")).first()[0] or 0) > limit:
+        brackets = materialize(_tighter(folded, brackets.where(F.col("_m") > limit), names).unionByName(brackets.where(F.col("_m") <= limit)))
+    # a value with c copies holds the 0-based ranks [last - c + 1, last]
+    along = W.partitionBy(*names, "_i").orderBy("_x").rowsBetween(W.unboundedPreceding, 0)
+    run = _within(folded, brackets, names).withColumn("_last", F.col("_below") + F.sum("_c").over(along) - 1)
+    first = F.col("_last") - F.col("_c") + 1
+
+    def at(rank):
+        return F.max(F.when((first <= rank) & (F.col("_last") >= rank), F.col("_x")))
+    found = run.groupBy(*names, "_i").agg(at(F.floor("_h")).alias("_a"), at(F.ceil("_h")).alias("_b"), (F.max("_h") - F.floor(F.max("_h"))).alias("_f"))
+    value_at = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")
+    wide = found.groupBy(*names).agg(*[F.max(F.when(F.col("_i") == i, value_at)).alias(f"p{i + 1}") for i in range(len(probs))])
+    return wide.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], *[f"p{i + 1}" for i in range(len(probs))])
+
+
+def _within(folded: DataFrame, brackets: DataFrame, names: list[str]) -> DataFrame:
+    """The folded values inside each bracket of their group."""
+    b = brackets.select(*[F.col(n).alias(f"b{n}") for n in names], *[c for c in brackets.columns if c not in names])
+    same = [F.col(n).eqNullSafe(F.col(f"b{n}")) for n in names]
+    return folded.join(b, [*same, F.col("_x").between(F.col("_lo"), F.col("_hi"))]).drop(*[f"b{n}" for n in names])
+
+
+def _tighter(folded: DataFrame, brackets: DataFrame, names: list[str]) -> DataFrame:
+    """Brackets around the parts that hold the ranks below and above each wanted one."""
+    steps = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+    cuts = _within(folded, brackets, names).groupBy(*names, "_i").agg(F.percentile_approx("_x", steps, F.lit(20 * CUTS)).alias("_cuts"))
+    b = brackets.select(*[F.col(n).alias(f"c{n}") for n in names], F.col("_i").alias("_ci"), *[c for c in brackets.columns if c not in (*names, "_i")])
+    same = [F.col(n).eqNullSafe(F.col(f"c{n}")) for n in names]
+    both = cuts.join(b, [*same, F.col("_i") == F.col("_ci")]).drop("_ci", *[f"c{n}" for n in names])
+    part = sum([(F.col("_x") > F.col("_cuts")[j]).cast("int") for j in range(CUTS - 1)], F.lit(0))
+    counted = (_within(folded, both, names).withColumn("_part", part).groupBy(*names, "_i", "_part")
+               .agg(F.sum("_c").alias("_w"), F.count(F.lit(1)).alias("_m"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
+                    F.max("_h").alias("_h"), F.max("_below").alias("_below")))
+    along = W.partitionBy(*names, "_i").orderBy("_part").rowsBetween(W.unboundedPreceding, 0)       # at most CUTS rows
+    placed = counted.withColumn("_before", F.col("_below") + F.sum("_w").over(along) - F.col("_w"))
+    holds = (F.col("_before") <= F.ceil("_h")) & (F.col("_before") + F.col("_w") > F.floor("_h"))
+    return placed.where(holds).groupBy(*names, "_i").agg(
+        F.sum("_m").alias("_m"), F.max("_h").alias("_h"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.min("_before").alias("_below"))

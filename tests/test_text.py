@@ -2,6 +2,7 @@
 
 import datetime
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from oreline.functions import dates as D
@@ -103,9 +104,25 @@ def test_one_hot_null_is_all_zero(spark):
 
 
 def test_pooling_matches_numpy(spark):
-    import numpy as np
     image = np.arange(256, dtype=float).reshape(16, 16) % 37
     df = spark.createDataFrame([(image.ravel().tolist(),)], "p array<double>")
     for how, fn in (("mean", np.mean), ("max", np.max)):
         want = [fn(image[r:r + 4, c:c + 4]) for r in range(0, 16, 4) for c in range(0, 16, 4)]
         assert np.allclose(S.pool_image(df, "p", how=how).first().p, want)
+
+
+def test_grouped_quantiles_narrow_large_groups(spark):
+    """One group of nearly all rows with one far value, one of few, one with a null key, one without values."""
+    rng = np.random.default_rng(4)
+    hot = np.concatenate([rng.normal(size=3000), [1e300, -1e300], np.full(500, 0.25)])
+    rows = [("hot", float(v)) for v in hot] + [("few", 1.0), ("few", 4.0), ("few", float("nan"))]
+    rows += [(None, float(v)) for v in range(101)] + [("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.999, 1.0]
+    want = {"hot": np.quantile(hot, probs), "few": np.quantile([1.0, 4.0], probs), None: np.quantile(np.arange(101.0), probs)}
+    for limit in (20, 100_000):
+        got = {r.g: list(r)[1:] for r in grouped_quantiles(df, ["g"], "x", probs, limit).collect()}
+        assert set(got) == set(want)
+        for g, values in want.items():
+            assert np.allclose(got[g], values, rtol=1e-12)
+    assert grouped_quantiles(df.limit(0), ["g"], "x", [0.5]).isEmpty()
