@@ -343,25 +343,35 @@ def weighted_sample(groups: DataFrame, group: str, size: str, items: DataFrame,
     # the short group rows are placed first, so the draws made from them need no further move
     todo = (groups.select(F.col(group), F.least(F.col(size).cast("int"), F.lit(n_items)).alias("_k"))
             .repartition(4 * shuffle_width(groups.sparkSession), F.col(group)))
-    done, factor = None, 2
-    while True:
-        draws = (todo.withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_k") * factor + 4)))
-                 .withColumn("_u", uniform(F.col(group), F.col("_j"), seed))
-                 .withColumn("_slot", F.floor(F.col("_u") * slots)))
-        hits = draws.join(filed, "_slot").where((F.col("_u") >= F.col("lo")) & (F.col("_u") < F.col("hi")))
-        # at most a few draws per wanted item: the list of a group is short by construction
-        ordered = F.array_sort(F.collect_list(F.struct("_j", "item")))
-        lists = hits.groupBy(group, "_k").agg(F.array_distinct(F.transform(ordered, lambda d: d["item"])).alias("_i"))
-        picked = materialize(lists)
-        whole = picked.where(F.size("_i") >= F.col("_k")).select(
-            group, F.posexplode(F.slice("_i", F.lit(1), F.col("_k"))).alias("pick", "item")).withColumn("pick", F.col("pick") + 1)
+    done = None
+    for factor, more in draw_rounds():
+        draws = (todo.withColumn("_j", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_k") * factor + more, F.lit(3)))))
+                 .withColumn("_u", uniform(F.col(group), F.col("_j"), seed)))
+        # the slot is a function of the draw and does not travel with it
+        hits = draws.join(filed, F.floor(F.col("_u") * slots) == F.col("_slot")).where((F.col("_u") >= F.col("lo")) & (F.col("_u") < F.col("hi")))
+        # one shuffle by group for the first draw of every item and the order of the items
+        hits = hits.select(group, "_k", "_j", "item").repartition(F.col(group))
+        firsts = hits.groupBy(group, "_k", "item").agg(F.min("_j").alias("_j"))
+        of_group = W.partitionBy(group, "_k")
+        firsts = firsts.withColumns({"pick": F.row_number().over(of_group.orderBy("_j")), "_n": F.count("*").over(of_group)})
+        picked = materialize(firsts.where("pick <= _k").select(group, "_k", "pick", "item", (F.col("_n") < F.col("_k")).alias("_short")))
+        whole = picked.where("not _short").select(group, "pick", "item")
         done = whole if done is None else done.unionByName(whole)
-        short = picked.where(F.size("_i") < F.col("_k"))
+        short = picked.where("_short")
         if short.isEmpty():
             return done
-        if factor > MOST_DRAWS:
-            return done.unionByName(_completed(short, group, filed, slots, seed))
-        todo, factor = short.select(group, "_k"), factor * 4
+        todo = short.select(group, "_k").distinct()
+    order = F.array_sort(F.collect_list(F.struct("pick", "item")))
+    short = short.groupBy(group, "_k").agg(F.transform(order, lambda d: d["item"]).alias("_i"))
+    return done.unionByName(_completed(short, group, filed, slots, seed))
+
+
+def draw_rounds() -> list[tuple[int, int]]:
+    """(times, more): a round draws times * size + more items (3 at least) for a group. Most groups have no repeats and end in the first."""
+    rounds = [(1, 0), (2, 4)]
+    while rounds[-1][0] <= MOST_DRAWS:
+        rounds.append((rounds[-1][0] * 4, 4))
+    return rounds
 
 
 def _completed(short: DataFrame, group: str, filed: DataFrame, slots: int, seed: int) -> DataFrame:
