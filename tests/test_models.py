@@ -144,6 +144,25 @@ def as_vectors(df):
     return df.select("row_id", F.array("a", "b").alias("x"))
 
 
+def test_kmeans_restarts_share_their_passes(spark):
+    """The best of separate fits, with fewer jobs than these take."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+    x = np.random.default_rng(5).normal(size=(600, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "row_id bigint, x array<double>")
+    sc = spark.sparkContext
+    sc.setJobGroup("together", "")
+    rows, centres, cost = C.kmeans(df, 3, 100, 4)
+    sc.setJobGroup("apart", "")
+    fits = [KMeans(k=3, maxIter=100, seed=42 + i, featuresCol="v").fit(df.withColumn("v", array_to_vector("x")).persist()) for i in range(4)]
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    best = min(fits, key=lambda m: m.summary.trainingCost)
+    assert abs(cost - best.summary.trainingCost) < 1e-6
+    assert np.allclose(centres, sorted(c.tolist() for c in best.clusterCenters()), atol=1e-9)
+    jobs = [len(sc.statusTracker().getJobIdsForGroup(g)) for g in ("together", "apart")]
+    assert jobs[0] < 0.75 * jobs[1], jobs
+
+
 def test_kmeans_cost_falls_with_k(spark):
     v = as_vectors(frame(spark))
     costs = [C.kmeans(v, k, 50, 2)[2] for k in (1, 2, 3)]
