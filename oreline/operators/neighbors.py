@@ -5,10 +5,12 @@ and, for its own pivot and for a few reference points shared by all leaves, the
 largest distance of its rows. The join has two rounds. In the first a query visits its own leaf
 (and further ones until they hold k rows), which gives a true bound on the distance of its k-th
 neighbour. In the second it visits the leaves that no reference point rules out by the triangle
-inequality; branches are ruled out before their leaves. A leaf with many rows is cut in blocks on
-both sides, so copies of one point, however many, never meet in one task. Inside a block one matrix
-product finds the candidates, and their distances are then computed exactly. Only the k best of each
-block leave it.
+inequality; branches are ruled out before their leaves. Neighbouring leaves form tiles, and a query is sent
+once to a tile with the numbers of its leaves there. A tile of one leaf with many rows is cut in blocks, the
+queries of a tile are too, so copies of one point, however many, never meet in one task. Blocks grow with the
+table up to a bound, so a row is sent to about ``BLOCKS`` of them, not to one for each leaf. Inside a block one
+matrix product a leaf finds the candidates, and their distances are then computed exactly. Only the k best of each
+block leave it, in the second round only those within the bound.
 """
 
 from __future__ import annotations
@@ -27,8 +29,11 @@ SPREAD = 256             # pivots picked far apart from each other; further ones
 SAMPLE = 4096
 REFERENCES = 8
 MAX_CELLS = 1_000_000
-POINT_BLOCK = 4096
+POINT_BLOCK = 4096       # rows of a block at least
 QUERY_BLOCK = 4096
+BLOCKS = 8               # blocks that a table is cut in on either side while they are not full
+BLOCK_NUMBERS = 1 << 22  # numbers of the vectors of a full block
+PAIRS = 1 << 20          # distances held at once
 SLACK = 1e-9             # relative rounding allowed for in every bound
 
 
@@ -85,7 +90,7 @@ class _Tree:
 class _Leaves:
     """Row numbers and distance ranges of the leaves of one group."""
 
-    def __init__(self, tree: _Tree, frame: pd.DataFrame):
+    def __init__(self, tree: _Tree, frame: pd.DataFrame, rows: int):
         self.tree = tree
         self.cell, self.rows = frame["cell"].to_numpy(), frame["n"].to_numpy()
         ranges = [frame[[f"{side}{i}" for i in range(len(tree.refs) + 1)]].to_numpy() for side in ("lo", "hi")]
@@ -96,6 +101,13 @@ class _Leaves:
         at[self.cell] = np.arange(len(self.cell))
         branches = [at[c][at[c] >= 0] for c in tree.children]
         self.branches = [b for b in branches if len(b)]
+        # leaves of a branch in a row form tiles of ``rows`` rows or one leaf
+        self.tile, tile, held = np.zeros(len(tree.pivots), np.int64), 0, 0
+        for leaf in np.concatenate(self.branches).tolist():
+            if held and held + self.rows[leaf] > rows:
+                tile, held = tile + 1, 0
+            self.tile[self.cell[leaf]] = tile
+            held += self.rows[leaf]
 
     def homes(self, x: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf): the own leaf of a query, or the nearest leaves that hold ``want`` rows (or all)."""
@@ -153,29 +165,38 @@ def _filed(tree):
 
 
 def _route(groups, want, second):
-    """Leaves of a query: its homes in the first round, all others within its bound in the second."""
+    """Tiles of a query with its leaves there: its homes in the first round, all others within its bound in the second."""
     def run(batches):
         for pdf in batches:
             for group, part in pdf.groupby("grp"):
                 if group not in groups:
                     continue
                 leaves = groups[group]
-                x = np.stack(part["x"].to_numpy())
+                x, bound = np.stack(part["x"].to_numpy()), part["bound"].to_numpy()
                 rows, cells = leaves.homes(x, want)
                 if second:
                     width = len(leaves.size)
                     seen = rows * width + cells
-                    rows, cells = leaves.within(x, part["bound"].to_numpy())
+                    rows, cells = leaves.within(x, bound)
                     new = ~np.isin(rows * width + cells, seen)
                     rows, cells = rows[new], cells[new]
-                for at in range(0, len(rows), 20_000):
-                    i = rows[at:at + 20_000]
-                    yield pd.DataFrame({"qid": part["qid"].to_numpy()[i], "grp": group, "x": list(x[i]), "cell": cells[at:at + 20_000]})
+                if not len(rows):
+                    continue
+                tiles = leaves.tile[cells]
+                order = np.lexsort((cells, tiles, rows))
+                rows, tiles, cells = rows[order], tiles[order], cells[order].astype("int32")
+                first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]) | (tiles[1:] != tiles[:-1])))
+                ends = np.append(first[1:], len(rows))
+                for at in range(0, len(first), 20_000):
+                    some = first[at:at + 20_000]
+                    i = rows[some]
+                    yield pd.DataFrame({"qid": part["qid"].to_numpy()[i], "grp": group, "x": list(x[i]), "bound": bound[i], "tile": tiles[some].astype("int32"),
+                                        "cells": [cells[a:b] for a, b in zip(some, ends[at:at + 20_000])]})
     return run
 
 
-def _best_pairs(q: np.ndarray, p: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of q, row of p, distance) of the k nearest of each row, ties to the smaller row of p."""
+def _best_pairs(q: np.ndarray, p: np.ndarray, k: int, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of p, distance) of the k nearest of each row, ties to the smaller row of p; those beyond ``bound`` may be left out."""
     if not (np.isfinite(q).all() and np.isfinite(p).all()) or len(p) <= k:
         d = _distances(q, p)
         best = np.argsort(d, axis=1, kind="stable")[:, :k]
@@ -184,8 +205,12 @@ def _best_pairs(q: np.ndarray, p: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     rough = qq[:, None] + pp[None, :] - 2 * (q @ p.T)
     # rounding of the product, far above what the sums can lose
     error = 4 * np.finfo(float).eps * (q.shape[1] + 4) * (qq + pp.max())
-    limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * error
-    i, j = np.nonzero(rough <= limit[:, None])
+    limit = np.where(np.isnan(bound), np.inf, bound) ** 2 * (1 + SLACK) + 2 * error
+    near = rough <= limit[:, None]
+    if near.sum() > 2 * k * len(q):
+        limit = np.minimum(limit, np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * error)
+        near = rough <= limit[:, None]
+    i, j = np.nonzero(near)
     total = np.zeros(len(i))
     for axis in range(q.shape[1]):
         total += (q[i, axis] - p[j, axis]) ** 2
@@ -201,31 +226,47 @@ def _block_best(k):
     def run(queries, points):
         if not len(queries) or not len(points):
             return pd.DataFrame({"qid": [], "pid": [], "dist": []})
-        points = points.sort_values("pid", kind="stable")
-        p, pid = np.stack(points["x"].to_numpy()), points["pid"].to_numpy()
-        q, qid = np.stack(queries["x"].to_numpy()), queries["qid"].to_numpy()
-        out = []
-        for at in range(0, len(q), 256):
-            i, j, dist = _best_pairs(q[at:at + 256], p, k)
-            out.append(pd.DataFrame({"qid": qid[at + i], "pid": pid[j], "dist": dist}))
-        return pd.concat(out)
+        points = points.sort_values(["cell", "pid"], kind="stable")
+        p, pid, cell = np.stack(points["x"].to_numpy()), points["pid"].to_numpy(), points["cell"].to_numpy()
+        q, qid, bound = np.stack(queries["x"].to_numpy()), queries["qid"].to_numpy(), queries["bound"].to_numpy()
+        cells = queries["cells"].to_numpy()
+        row, leaf = np.repeat(np.arange(len(q)), [len(c) for c in cells]), np.concatenate(cells)
+        order = np.argsort(leaf, kind="stable")
+        row, leaf = row[order], leaf[order]
+        found = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]]
+        for c in np.unique(leaf).tolist():
+            a, b = np.searchsorted(cell, (c, c + 1))
+            mine = row[slice(*np.searchsorted(leaf, (c, c + 1)))]
+            step = max(1, PAIRS // max(1, b - a))
+            for at in range(0, len(mine) if b > a else 0, step):
+                some = mine[at:at + step]
+                i, j, dist = _best_pairs(q[some], p[a:b], k, bound[some])
+                found.append([some[i], a + j, dist])
+        i, j, dist = (np.concatenate(f) for f in zip(*found))
+        order = np.lexsort((pid[j], dist, i))
+        i, j, dist = i[order], j[order], dist[order]
+        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+        return pd.DataFrame({"qid": qid[i[keep]], "pid": pid[j[keep]], "dist": dist[keep]})
     return run
 
 
-def _visited(routed: DataFrame, filed: DataFrame, want: int) -> DataFrame:
+def _visited(routed: DataFrame, filed: DataFrame, leaves: DataFrame, want: int, rows: int) -> DataFrame:
     """The best ``want`` of every block a query visits: (qid, pid, dist)."""
-    visits = routed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("_v"))
-    plan = materialize(filed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("_n")).join(visits, ["grp", "cell"]).select(
-        "grp", "cell", F.ceil(F.col("_n") / POINT_BLOCK).alias("_pb"), F.ceil(F.col("_v") / QUERY_BLOCK).alias("_qb")))
-    # every block of queries of a leaf meets every block of points of that leaf exactly once
-    qs = (routed.join(F.broadcast(plan), ["grp", "cell"])
+    visits = routed.groupBy("grp", "tile").agg(F.count(F.lit(1)).alias("_v"))
+    blocks = leaves.groupBy("grp", "tile").agg(F.ceil(F.sum("n") / max(POINT_BLOCK, rows)).alias("_pb"), F.count(F.lit(1)).alias("_leaves"))
+    # only a tile of one leaf may hold more than a block
+    blocks = blocks.withColumn("_pb", F.when(F.col("_leaves") == 1, F.col("_pb")).otherwise(1)).drop("_leaves")
+    plan = materialize(blocks.join(visits, ["grp", "tile"]).withColumn("_qb", F.ceil(F.col("_v") / max(QUERY_BLOCK, rows))).drop("_v"))
+    placed = materialize(leaves.join(plan, ["grp", "tile"]).select("grp", "cell", "tile", "_pb", "_qb"))
+    # every block of queries of a tile meets every block of points of that tile exactly once
+    qs = (routed.join(F.broadcast(plan), ["grp", "tile"])
           .withColumn("qb", F.pmod(hash32(F.col("qid"), 5), F.col("_qb")))
           .withColumn("pb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pb") - 1))))
-    ps = (filed.join(F.broadcast(plan), ["grp", "cell"])
+    ps = (filed.join(F.broadcast(placed), ["grp", "cell"])
           .withColumn("pb", F.pmod(hash32(F.col("pid"), 6), F.col("_pb")))
           .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_qb") - 1))))
-    key = ["grp", "cell", "pb", "qb"]
-    return qs.select(*key, "qid", "x").groupBy(*key).cogroup(ps.select(*key, "pid", "x").groupBy(*key)).applyInPandas(
+    key = ["grp", "tile", "pb", "qb"]
+    return qs.select(*key, "qid", "x", "bound", "cells").groupBy(*key).cogroup(ps.select(*key, "cell", "pid", "x").groupBy(*key)).applyInPandas(
         _block_best(want), "qid bigint, pid bigint, dist double")
 
 
@@ -248,18 +289,21 @@ def _search(queries: DataFrame, points: DataFrame, want: int, leaf_rows: int):
     cells = filed.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("n"), *sides).limit(MAX_CELLS + 1).toPandas()
     if len(cells) > MAX_CELLS:
         raise ValueError(f"more than {MAX_CELLS} leaves: too many groups")
-    groups = {g: _Leaves(tree, c) for g, c in cells.groupby("grp")}
-    schema = "qid bigint, grp string, x array<double>, cell int"
-    routed = materialize(q.mapInPandas(_route(groups, want, False), schema))
-    best = _visited(routed, filed, want)
+    rows = max(1, min(total // BLOCKS, BLOCK_NUMBERS // max(1, tree.pivots.shape[1])))
+    groups = {g: _Leaves(tree, c, max(POINT_BLOCK, rows)) for g, c in cells.groupby("grp")}
+    tiles = pd.concat([pd.DataFrame({"grp": g, "cell": leaves.cell, "tile": leaves.tile[leaves.cell], "n": leaves.rows}) for g, leaves in groups.items()])
+    tiles = queries.sparkSession.createDataFrame(tiles, "grp string, cell int, tile int, n bigint")
+    schema = "qid bigint, grp string, x array<double>, bound double, tile int, cells array<int>"
+    routed = materialize(q.withColumn("bound", F.lit(float("inf"))).mapInPandas(_route(groups, want, False), schema))
+    best = _visited(routed, filed, tiles, want, rows)
     if cells["cell"].nunique() > 1:
         order = W.partitionBy("qid").orderBy("dist", "pid")
         best = materialize(best.withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= want).drop("_at"))
         bounds = best.groupBy("qid").agg(F.max("dist").alias("bound"))
         again = materialize(q.join(bounds, "qid").mapInPandas(_route(groups, want, True), schema))
-        best = best.unionByName(_visited(again, filed, want))
+        best = best.unionByName(_visited(again, filed, tiles, want, rows))
         routed = routed.unionByName(again)
-    return best, routed.select("qid", "grp", "cell"), cells
+    return best, routed.select("qid", "grp", F.explode("cells").alias("cell")), cells
 
 
 def nearest(queries: DataFrame, points: DataFrame, k: int, same_rows: bool = False, leaf_rows: int = LEAF_ROWS) -> DataFrame:

@@ -72,3 +72,21 @@ def test_few_distances_and_growth_below_quadratic(spark):
         counts.append(N.compared_pairs(df.withColumnRenamed("pid", "qid"), df, 5, leaf_rows=64))
         assert counts[-1] < 0.10 * n * n
     assert counts[1] < 3.6 * counts[0]
+
+
+def test_a_query_is_sent_to_blocks_not_to_every_leaf(spark, monkeypatch):
+    """Rows without clusters visit nearly all leaves; each is sent to a bounded number of tiles all the same."""
+    x = np.random.default_rng(6).normal(size=(3000, 12))
+    df, sent, visited = _table(spark, x, "pid"), [], N._visited
+
+    def counted(routed, *more):
+        sent.append(routed.count())
+        return visited(routed, *more)
+    monkeypatch.setattr(N, "_visited", counted)
+    monkeypatch.setattr(N, "POINT_BLOCK", 64)
+    monkeypatch.setattr(N, "QUERY_BLOCK", 64)
+    got = _got(N.nearest(df.withColumnRenamed("pid", "qid"), df, 4, same_rows=True, leaf_rows=60), 4, len(x))
+    d = N._distances(x, x)
+    np.fill_diagonal(d, np.inf)
+    assert (got == np.argsort(d, axis=1, kind="stable")[:, :4]).all()
+    assert sum(sent) < 20 * len(x)
