@@ -186,9 +186,13 @@ def _one_each(a, b, component):
     return a[first], b[first]
 
 
-def _dealt(rows: DataFrame, keys: list[str], weight: Column, by: str) -> DataFrame:
-    """Every two blocks of bounded size of a group meet under one (i, j); ``own`` is a row's block."""
-    number = rows.groupBy(*keys).agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum(weight) / BLOCK_SHINGLES)).cast("int").alias("number"))
+def _dealt(rows: DataFrame, keys: list[str], weight: Column, by: str, only: Column) -> DataFrame:
+    """Every two blocks of bounded size of a group meet under one (i, j); ``own`` is a row's block.
+
+    ``only`` is an aggregate of a group; groups for which it does not hold are left out.
+    """
+    number = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum(weight) / BLOCK_SHINGLES)).cast("int").alias("number")
+    number = rows.groupBy(*keys).agg(number, only.alias("only")).where("only").drop("only")
     cells = rows.join(materialize(number), keys).withColumn("own", F.pmod(F.xxhash64(by), F.col("number")).cast("int"))
     cells = cells.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("number") - 1)))
     cells = cells.withColumn("i", F.least("own", "met")).withColumn("j", F.greatest("own", "met")).drop("met", "number")
@@ -197,9 +201,7 @@ def _dealt(rows: DataFrame, keys: list[str], weight: Column, by: str) -> DataFra
 
 def _derived(near: DataFrame, component: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between sets near one pivot and of different components, from their differences."""
-    state = _with_component(near, component, "c")
-    mixed = (state.groupBy("p").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("p"))
-    state = state.join(materialize(mixed), "p").select("p", "c", "n", "m", "gone", "come", "component")
+    state = _with_component(near, component, "c").select("p", "c", "n", "m", "gone", "come", "component")
 
     def run(batches):
         for (_, i, j), table in whole(batches, ["p", "i", "j"]):
@@ -214,8 +216,9 @@ def _derived(near: DataFrame, component: DataFrame, percent: int) -> DataFrame:
                 good &= own[:, None] != own[None, :]
             a, b = _one_each(*np.nonzero(np.triu(good, 1)), component)
             yield pa.RecordBatch.from_arrays([pa.array(c[a], pa.int64()), pa.array(c[b], pa.int64())], names=["a", "b"])
+    mixed = F.min("component") < F.max("component")
     weight = (F.octet_length("gone") / 4 + F.octet_length("come") / 8).cast("long")
-    return _dealt(state, ["p"], weight, "c").mapInArrow(lean(run), "a long, b long")
+    return _dealt(state, ["p"], weight, "c", mixed).mapInArrow(lean(run), "a long, b long")
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -256,8 +259,6 @@ def _rest(lists: DataFrame, near: DataFrame, component: DataFrame, classes: Data
     # positions may not add up to more than the sets may differ by; the larger set has at most n / similarity shingles
     reach = F.col("n") * ((1 + 100 / percent) * (1 - 2 * percent / (100 + percent))) + F.lit(1e-6)
     state = materialize(state.join(mixed, ["key", "group"]).where(F.col("pos") + F.col("front") <= reach).drop("front"))
-    mixed = state.groupBy("key", "group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("far").alias("far")).where("lo < hi and far")
-    state = state.join(materialize(mixed.select("key", "group")), ["key", "group"])
     state = state.join(classes.select(F.col("th").alias("c"), F.col("short").alias("bits")), "c")
 
     def run(batches):
@@ -287,7 +288,8 @@ def _rest(lists: DataFrame, near: DataFrame, component: DataFrame, classes: Data
                 up = c[a] > c[b]
                 a, b = np.where(up, a, b), np.where(up, b, a)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (c[a], c[b], n[a], n[b])], names=["c", "p", "n", "m"])
-    return _dealt(state, ["key", "group"], F.lit(0), "c").mapInArrow(lean(run), "c long, p long, n long, m long").distinct()
+    mixed = F.min("component") < F.max("component")
+    return _dealt(state, ["key", "group"], F.lit(0), "c", mixed & F.max("far")).mapInArrow(lean(run), "c long, p long, n long, m long").distinct()
 
 
 def _linked(classes: DataFrame, texts: DataFrame, width: int, lower: bool, percent: int) -> DataFrame:

@@ -96,6 +96,19 @@ def test_blocks_and_the_rest(spark, monkeypatch):
     assert collected(frame) == wanted
 
 
+def test_jaccard_lists_are_filtered_and_cut_in_one_join(spark):
+    """A list whose open entries are one component is left out by the join that numbers the blocks of the others."""
+    entries = [(1, c, 100, 0, 100, 100) for c in (1, 2, 100)] + [(2, c, 100, 0, 200, 100) for c in (3, 4, 200)]
+    lists = spark.createDataFrame(entries, "key long, c long, n long, pos int, p long, m long")
+    near = spark.createDataFrame([], "c long, p long, n long, m long, common long")
+    component = spark.createDataFrame([(3, 3), (4, 3)], "node long, component long")
+    classes = spark.createDataFrame([(c, bytes(64)) for c in range(1, 5)], "th long, short binary")
+    found = jaccard._rest(lists, near, component, classes, 90)
+    assert [tuple(r) for r in found.collect()] == [(2, 1, 100, 100)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 2
+
+
+
 def test_jaccard_join_of_tables_and_edges(spark, documents, edge, empty):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     assert collected(documents) == joined(rows)
