@@ -440,3 +440,44 @@ def test_a_passage_whose_roots_are_frequent_phrases(spark):
     rows = [(i, words(40) + passage + words(30)) for i in (1, 2)]
     rows += [(100 + i, [w for f in frequent for w in words(60) + f] + words(60)) for i in range(60)]
     assert set(_places(spark, rows)) == {1, 2}
+
+
+def test_links_of_a_phrase_that_is_repeated():
+    def places(first, step, n):
+        root = first + step * np.arange(n)
+        back = np.where(np.arange(n) == 0, 7, step - 1)
+        return (root << 32) | (back << 17) | ((root[-1] + 9 - root) << 2) | 1
+    for step in (1, 6):
+        own, other = places(20, step, 300), places(50, step, 200)
+        every = np.concatenate([passages._link(np.repeat(own[i:i + 1], 200), other) for i in range(300)], axis=1)
+        parts = list(passages._joined(np.flip(own), other, size=100))
+        links = np.concatenate(parts, axis=1)
+        assert links.shape[1] == 300 + 200 - 1 and max(p.shape[1] for p in parts) <= 200
+        assert set(map(tuple, passages._widest(links).T.tolist())) == set(map(tuple, passages._widest(every).T.tolist()))
+        assert passages.sweep_links(links) == passages.sweep_links(every)
+
+
+def test_a_line_in_many_texts_makes_no_blocks(spark):
+    words = _own_words(31)
+    line, twin = words(18), words(70)
+    rows = [(i, words(50) + line + words(50)) for i in range(600)] + [(1000 + i, words(20) + line + twin + words(30 + i)) for i in range(2)]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    texts = docs.select(F.xxhash64("text").alias("th"), F.monotonically_increasing_id().alias("id"), "doc_id", "text")
+
+    def cells(batches):
+        for batch in batches:
+            th, ids, text = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)
+            w = passages.Words(passages.strings(text))
+            found, _, begin = passages.shingles(w.hashes(), w.at, 5)
+            found = (found >> np.uint64(32)).astype("<u4")
+            yield pa.RecordBatch.from_pydict({"key": [1] * len(th), "th": th, "root": [55] * len(th), "s": [0] * len(th), "doc_id": ids,
+                                              "body": [found[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:])]})
+    table = texts.mapInArrow(cells, "key long, th long, root long, s long, doc_id long, body binary")
+    kept = passages._alike_around(table, 46, 36).select("doc_id").collect()
+    assert {r.doc_id for r in kept} == {1000, 1001}
+
+
+def test_passages_do_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    one, two = (sorted(map(tuple, passages.repeated_passages(docs.repartition(n, "doc_id")).collect())) for n in (3, 7))
+    assert one == two
